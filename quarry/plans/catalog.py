@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from quarry.plans.oracle import ORACLE_SQL
-from quarry.plans.tables import QUERIES
+from quarry.plans import oracle, tables, tables_ml, tables_stream
 
 
 def all_queries() -> dict:
-    return dict(QUERIES)
+    out = dict(tables.QUERIES)
+    out.update(tables_ml.QUERIES)
+    out.update(tables_stream.QUERIES)
+    return out
 
 
 def all_oracle_sql() -> dict[str, str]:
+    sql = dict(oracle.ORACLE_SQL)
+    sql.update(tables_ml.ORACLE_SQL)
+    sql.update(tables_stream.ORACLE_SQL)
+    # The stream's result equals its batch twin's (complete mode keeps all).
+    sql["stream_trending_tags"] = oracle.ORACLE_SQL["trending_tags"]
     keys = all_queries().keys()
-    return {k: v for k, v in ORACLE_SQL.items() if k in keys}
+    return {k: v for k, v in sql.items() if k in keys and v}

@@ -1,0 +1 @@
+"""Structured Streaming jobs: windowed tag trends and per-batch scoring."""
