@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -155,6 +155,16 @@ def _landmark_frame(g: Graph, landmarks) -> DataFrame:
     ).distinct()
 
 
+def _write_level(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Write ``df`` as a Parquet table and read it back: one computation,
+    a lineage cut (the plan of the next level starts at these files) and a
+    copy on shared storage that survives the loss of any executor."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    return back, back.count()
+
+
 def hops_to_landmarks(
     g: Graph,
     landmarks,
@@ -164,51 +174,56 @@ def hops_to_landmarks(
     """Fewest edges on a directed path from each vertex to each landmark.
 
     Long form ``(id, landmark, hops)``; the landmark itself has 0 and
-    vertices that cannot reach a landmark have no row for it. Breadth-first
-    search over reversed edges: each level joins the frontier with the
-    edges (hash-partitioned once on ``dst``), de-duplicates map-side, drops
-    already visited ``(id, landmark)`` pairs with an anti join, and is
-    written as a reliable checkpoint so lineage stays one level deep. Stops
-    when a level is empty (or after ``max_hops`` levels if given).
+    vertices that cannot reach a landmark have no row for it.
+
+    Breadth-first search over reversed edges, one distributed job per
+    level: the frontier joins the reversed edges (cached, hash-partitioned
+    once on the target, so only the frontier moves; AQE turns the join into
+    a broadcast when the frontier's shuffled size is under the broadcast
+    threshold, a size checked at run time), new ``(id, landmark)`` pairs
+    are kept with an anti join against the visited levels and
+    de-duplicated on the same keys (no extra shuffle). Each
+    level is written as a table under the shared checkpoint directory, so
+    plans stay one level deep and a lost executor costs at most one level;
+    every ``compact_every`` levels the visited pairs are rewritten as one
+    table so the anti join scans one relation, not one per level.
+    Stops when a level is empty (or after ``max_hops`` levels).
     """
     spark = g.edges.sparkSession
-    ensure_checkpoint_dir(spark)
+    base = scratch_path(spark, "hops")
     rev = (
         g.edges.select(F.col("dst").alias("id"), F.col("src").alias("prev"))
         .distinct()
         .repartition("id")
         .persist()
     )
-    frontier = (
-        _landmark_frame(g, landmarks)
-        .select(F.col("landmark").alias("id"), "landmark")
-        .checkpoint(eager=True)
+    start = _landmark_frame(g, landmarks).select(
+        F.col("landmark").alias("id"), "landmark", F.lit(0).alias("hops")
     )
-    levels = [frontier.withColumn("hops", F.lit(0))]
-    visited = levels[0]
-    level = 0
     try:
-        while max_hops is None or level < max_hops:
+        layer, n_front = _write_level(start, f"{base}/level=0")
+        layers = [layer]
+        visited = layer.select("id", "landmark")
+        level = 0
+        while n_front > 0 and (max_hops is None or level < max_hops):
+            level += 1
+            frontier = layers[-1].select("id", "landmark")
+            cand = frontier.join(rev, "id").select(F.col("prev").alias("id"), "landmark")
             nxt = (
-                frontier.join(rev, "id")
-                .select(F.col("prev").alias("id"), "landmark")
+                cand.join(visited, ["id", "landmark"], "left_anti")
                 .distinct()
-                .join(visited.select("id", "landmark"), ["id", "landmark"], "left_anti")
-                .checkpoint(eager=True)
+                .withColumn("hops", F.lit(level))
             )
-            if nxt.isEmpty():
-                break
-            level += 1
-            layer = nxt.withColumn("hops", F.lit(level))
-            levels.append(layer)
-            visited = visited.unionByName(layer)
-            if level % compact_every == 0:
-                visited = visited.checkpoint(eager=True)
-            frontier = nxt
+            layer, n_front = _write_level(nxt, f"{base}/level={level}")
+            if n_front:
+                layers.append(layer)
+                visited = visited.unionByName(layer.select("id", "landmark"))
+                if level % compact_every == 0:
+                    visited, _ = _write_level(visited, f"{base}/visited={level}")
     finally:
         rev.unpersist()
-    out = levels[0]
-    for layer in levels[1:]:
+    out = layers[0]
+    for layer in layers[1:]:
         out = out.unionByName(layer)
     return out.select("id", "landmark", F.col("hops").cast("int").alias("hops"))
 
