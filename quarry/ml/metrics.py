@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import cut_lineage
 
 
 def _c(x: Column | str) -> Column:
@@ -82,22 +82,20 @@ def binary_auc(
 
     Mann-Whitney form: ``sum over positives of (#negatives scored lower +
     half the negatives scored equal) / (P * N)``. The "negatives below"
-    prefix sum is distributed: scores are range-partitioned and frozen in a
-    reliable checkpoint, per-partition totals (one row per partition, so a
+    prefix sum is distributed: scores are range-partitioned and the
+    partition ids frozen in a written table, per-partition totals (one row per partition, so a
     bounded broadcast) give each partition its offset, and a window inside
     each partition finishes the sum.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     pos = F.when(_c(label) > 0.5, 1).otherwise(0)
     g = df.groupBy(_c(score).cast("double").alias("score")).agg(
         F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg")
     )
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        g.repartitionByRange(n_parts, "score")
-        .withColumn("pid", F.spark_partition_id())
-        .checkpoint(eager=True)
+    ranged = cut_lineage(
+        g.repartitionByRange(n_parts, "score").withColumn("pid", F.spark_partition_id()),
+        "auc-ranges",
     )
     totals = ranged.groupBy("pid").agg(F.sum("neg").alias("pneg"))
     before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -42,3 +42,12 @@ def label_split(
     cut = int(round(train_fraction * buckets))
     b = split_bucket(keys, seed, buckets)
     return df.withColumn(alias, F.when(b < cut, "train").otherwise("test"))
+
+
+def random_split(
+    df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 4
+) -> list[DataFrame]:
+    """Spark's ``randomSplit`` (per-partition sampling). Reproducible only
+    for the same partitioning and row order of the input; prefer
+    :func:`hash_split` when the split must be stable."""
+    return df.randomSplit(list(weights), seed=seed)

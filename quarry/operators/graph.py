@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_path
+from quarry.session import cut_lineage, scratch_path
 
 
 @dataclass(frozen=True)
@@ -159,9 +159,7 @@ def _write_level(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     """Write ``df`` as a Parquet table and read it back: one computation,
     a lineage cut (the plan of the next level starts at these files) and a
     copy on shared storage that survives the loss of any executor."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
+    back = cut_lineage(df, "level", path)
     return back, back.count()
 
 
@@ -170,6 +168,7 @@ def hops_to_landmarks(
     landmarks,
     max_hops: int | None = None,
     compact_every: int = 8,
+    broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Fewest edges on a directed path from each vertex to each landmark.
 
@@ -177,10 +176,11 @@ def hops_to_landmarks(
     vertices that cannot reach a landmark have no row for it.
 
     Breadth-first search over reversed edges, one distributed job per
-    level: the frontier joins the reversed edges (cached, hash-partitioned
-    once on the target, so only the frontier moves; AQE turns the join into
-    a broadcast when the frontier's shuffled size is under the broadcast
-    threshold, a size checked at run time), new ``(id, landmark)`` pairs
+    level: the frontier joins the cached reversed edges. The exact row
+    count of every level is known, so a frontier of at most
+    ``broadcast_rows`` rows (two ids each) is broadcast and the edges are
+    streamed in place; a larger one goes through a shuffle join whose
+    skewed partitions (a hub) AQE splits. New ``(id, landmark)`` pairs
     are kept with an anti join against the visited levels and
     de-duplicated on the same keys (no extra shuffle). Each
     level is written as a table under the shared checkpoint directory, so
@@ -191,10 +191,13 @@ def hops_to_landmarks(
     """
     spark = g.edges.sparkSession
     base = scratch_path(spark, "hops")
+    # Cached as de-duplicated (id, prev) pairs, deliberately *not* hash
+    # partitioned on id: a vertex with a huge in-degree then spreads over
+    # many partitions, a small frontier is broadcast against it, and a large
+    # one goes through a shuffle join whose skewed partitions AQE splits.
     rev = (
         g.edges.select(F.col("dst").alias("id"), F.col("src").alias("prev"))
         .distinct()
-        .repartition("id")
         .persist()
     )
     start = _landmark_frame(g, landmarks).select(
@@ -208,6 +211,8 @@ def hops_to_landmarks(
         while n_front > 0 and (max_hops is None or level < max_hops):
             level += 1
             frontier = layers[-1].select("id", "landmark")
+            if n_front <= broadcast_rows:
+                frontier = F.broadcast(frontier)
             cand = frontier.join(rev, "id").select(F.col("prev").alias("id"), "landmark")
             nxt = (
                 cand.join(visited, ["id", "landmark"], "left_anti")

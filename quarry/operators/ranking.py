@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.arrays import head, tail_distinct
 from quarry.functions.strings import split_words
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import cut_lineage
 
 
 def parse_link_lines(
@@ -84,14 +84,16 @@ def pagerank(
 ) -> DataFrame:
     """Ranks after ``iterations`` rounds as ``(page, rank)``, highest first.
 
-    Each round is a join of the (persisted, page-partitioned) link edges
-    with the current ranks and a grouped sum with map-side partial sums, so
-    a heavily linked page costs one partial row per task. The rank table is
-    written as a reliable checkpoint every ``checkpoint_every`` rounds.
+    Each round is a join of the cached link edges with the current ranks
+    and a grouped sum with map-side partial sums, so a heavily linked
+    target costs one partial row per task. Edges are not pre-partitioned on
+    the page: a page with a huge out-list is then split over tasks by AQE's
+    skew-join handling (or the rank table is broadcast when AQE measures it
+    small) instead of landing in one partition. Every ``checkpoint_every``
+    rounds, and after the last, the ranks are written as a table under the
+    shared checkpoint directory (computed once, lineage cut).
     """
-    spark = link_edges_df.sparkSession
-    ensure_checkpoint_dir(spark)
-    edges = link_edges_df.select("page", "target", "n_targets").repartition("page").persist()
+    edges = link_edges_df.select("page", "target", "n_targets").persist()
     try:
         ranks = initial_ranks(edges, pages)
         n_pages = None
@@ -112,7 +114,7 @@ def pagerank(
                 )
             ranks = summed
             if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
-                ranks = ranks.checkpoint(eager=True)
+                ranks = cut_lineage(ranks, f"ranks-{i + 1}")
     finally:
         edges.unpersist()
     return ranks.orderBy(F.col("rank").desc(), F.col("page").asc())

@@ -22,7 +22,7 @@ from quarry.sources.parquet import read_table
 from quarry.sources.sinks import write_n_files
 from quarry.streaming.scoring import metrics_per_batch
 from quarry.streaming.sinks import read_sink, run_available
-from quarry.streaming.sources import parquet_stream
+from quarry.streaming.sources import csv_stream, parquet_stream
 from quarry.streaming.trends import trending_tags_stream
 
 # Fixed parameters of the streaming catalogue.
@@ -44,16 +44,28 @@ def _tag_stream(stream: DataFrame) -> DataFrame:
     return stream.select("event_id", "ts", tags.alias("tag"))
 
 
+TAG_SCHEMA = "event_id long, ts timestamp, tag string"
+
+
 def stream_trending_tags(spark, sf_dir):
-    schema = read_table(spark, sf_dir, "events").schema
-    src = parquet_stream(spark, sf_dir, schema, max_files_per_trigger=1, glob="events.parquet")
+    """The reference's route: the tagged events are staged as 20 headerless
+    CSV files, streamed back with a fixed schema five files per batch,
+    counted in complete mode, and the result table is queried with SQL."""
+    staged = tagged_events(spark, sf_dir).withColumnRenamed("tags", "tag")
+    src_dir = scratch_path(spark, "tags-csv")
+    write_n_files(staged, src_dir, n_files=STREAM_FILES, fmt="csv")
+    src = csv_stream(spark, src_dir, TAG_SCHEMA, max_files_per_trigger=FILES_PER_TRIGGER)
     trend = trending_tags_stream(
-        _tag_stream(src), "ts", "tag", TREND_MIN_COUNT, WINDOW, SLIDE, WATERMARK, "tag_count"
+        src, "ts", "tag", TREND_MIN_COUNT, WINDOW, SLIDE, WATERMARK, "tag_count"
     )
     out = scratch_path(spark, "trending-tags")
     run_available(trend, "complete", sink_path=out)
-    res = flatten_window(read_sink(spark, out))
-    return res.orderBy("window_start", F.col("tag_count").desc(), "tag")
+    view = f"trending_tags_{abs(hash(out)) % 10**8}"
+    flatten_window(read_sink(spark, out)).createOrReplaceTempView(view)
+    return spark.sql(
+        f"SELECT window_start, window_end, tag, tag_count FROM {view} "
+        "ORDER BY window_start, tag_count DESC, tag"
+    )
 
 
 def staged_events(spark, sf_dir) -> DataFrame:

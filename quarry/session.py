@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library wants. Sizes are per-cluster knobs:
 # shuffle partitions default to a multiple of the cores; AQE then coalesces
@@ -85,6 +85,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def cut_lineage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint directory
+    and return it read back: computed once, plan truncated, and durable if
+    an executor is lost. (A reliable ``checkpoint()`` of an uncached frame
+    would compute it twice: once to count, once to write.)"""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so a path can be used by local tooling."""
     return path[len("file:") :] if path.startswith("file:") else path
