@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.session import cut_lineage, scratch_path
@@ -158,12 +158,15 @@ def _landmark_frame(g: Graph, landmarks) -> DataFrame:
 def _write_level(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     """Write ``df`` as a Parquet table and read it back: one computation,
     a lineage cut (the next level's plan starts at these files) and a copy
-    on shared storage that survives the loss of any executor. The row count
-    is observed during the write, so no second job is needed."""
-    obs = Observation()
-    counted = df.observe(obs, F.count(F.lit(1)).alias("n"))
-    back = cut_lineage(counted, "level", path)
-    return back, int(obs.get["n"])
+    on shared storage that survives the loss of any executor. The count is
+    answered from the Parquet footers.
+
+    (Collecting the count with ``DataFrame.observe`` during the write would
+    save that small job, but once used it leaves the session holding an
+    object that cannot be serialized, which breaks tasks of MLlib models
+    that keep a reference to the session.)"""
+    back = cut_lineage(df, "level", path)
+    return back, back.count()
 
 
 def hops_to_landmarks(
