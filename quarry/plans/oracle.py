@@ -51,12 +51,13 @@ r0 AS (
 """
 
 
-def _rank_rounds(n: int) -> str:
+def _rank_rounds(n: int, edges: str = "gl") -> str:
     parts = []
     for i in range(1, n + 1):
         parts.append(
-            f"r{i} AS (SELECT gl.target AS page, SUM(r{i-1}.rank / gl.n_targets) AS rank "
-            f"FROM gl JOIN r{i-1} ON gl.page = r{i-1}.page GROUP BY gl.target)"
+            f"r{i} AS (SELECT {edges}.target AS page, SUM(r{i-1}.rank / {edges}.n_targets) "
+            f"AS rank FROM {edges} JOIN r{i-1} ON {edges}.page = r{i-1}.page "
+            f"GROUP BY {edges}.target)"
         )
     return ",\n".join(parts)
 
@@ -122,6 +123,18 @@ lines AS (
 )
 """
 
+_LINE_RANKS = """
+le AS (
+  SELECT page, UNNEST(t) AS target, LEN(t) AS n_targets
+  FROM (SELECT w[1] AS page, LIST_DISTINCT(w[2:]) AS t FROM lines)
+),
+r0 AS (
+  SELECT DISTINCT w[1] AS page,
+         1.0::DOUBLE / (SELECT COUNT(DISTINCT w[1]) FROM lines) AS rank
+  FROM lines
+)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "count_where": "SELECT COUNT(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING'",
     "count_where_sql": "SELECT COUNT(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING'",
@@ -208,6 +221,10 @@ ORACLE_SQL: dict[str, str] = {
         "WITH " + _GRAPH + "," + _LINKS + "," + _rank_rounds(10)
         + " SELECT page, ROUND(rank, 12) AS rank FROM r10 ORDER BY rank DESC, page"
     ),
+    "pagerank_lines": (
+        "WITH " + _LINES + "," + _LINE_RANKS + "," + _rank_rounds(10, "le")
+        + " SELECT page, ROUND(rank, 12) AS rank FROM r10 ORDER BY rank DESC, page"
+    ),
     "grid_cells": (
         "WITH " + _POINTS + " SELECT CAST(FLOOR(x / 0.03125) AS BIGINT) AS cx, "
         "CAST(FLOOR(y / 0.03125) AS BIGINT) AS cy, id, x, y FROM pts"

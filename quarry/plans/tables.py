@@ -310,6 +310,14 @@ def pagerank(spark, sf_dir):
     return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
 
 
+def pagerank_lines(spark, sf_dir):
+    """Ranks straight from text link lines, one line per urgent order: a
+    customer owning several lines contributes from each of them."""
+    links = R.parse_link_lines(link_lines(spark, sf_dir), "value", line_id_col="line_id")
+    ranks = R.pagerank(R.link_edges(links), iterations=RANK_ROUNDS, pages=links.select("page"))
+    return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
+
+
 # ---------------------------------------------------------------- spatial
 
 
@@ -390,6 +398,7 @@ QUERIES: dict[str, QueryFn] = {
     "link_lists": link_lists,
     "pagerank_contributions": pagerank_contributions,
     "pagerank": pagerank,
+    "pagerank_lines": pagerank_lines,
     "grid_cells": grid_cells,
     "grid_push": grid_push,
     "close_pairs": close_pairs,
