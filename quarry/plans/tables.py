@@ -30,7 +30,7 @@ from quarry.operators import ranking as R
 from quarry.operators import relational as Rel
 from quarry.operators import spatial as S
 from quarry.operators import trends as T
-from quarry.session import scratch_path
+from quarry.session import cut_lineage, scratch_path
 from quarry.sources import csv as CSV
 from quarry.sources.parquet import read_table
 from quarry.sources.sinks import write_n_files, write_partitioned
@@ -227,6 +227,12 @@ def hub_of(g: G.Graph) -> Column:
     return deg.select(F.min_by("id", F.struct(-F.col("deg"), F.col("id")))).scalar()
 
 
+def stored_routes_graph(spark, sf_dir) -> G.Graph:
+    """The route graph with its edge table written once (for the iterative
+    queries, which read it many times: reversed edges, vertices, hub)."""
+    return G.Graph.from_edges(cut_lineage(routes_graph(spark, sf_dir).edges, "routes"))
+
+
 def graph_edges(spark, sf_dir):
     return routes_graph(spark, sf_dir).edges
 
@@ -249,19 +255,19 @@ def one_way_neighbors(spark, sf_dir):
 
 
 def hops_to_landmarks(spark, sf_dir):
-    g = routes_graph(spark, sf_dir)
+    g = stored_routes_graph(spark, sf_dir)
     return G.hops_to_landmarks(g, hub_of(g))
 
 
 def hops_map(spark, sf_dir):
-    g = routes_graph(spark, sf_dir)
+    g = stored_routes_graph(spark, sf_dir)
     hub = hub_of(g)
     m = G.hops_map(g, G.hops_to_landmarks(g, hub))
     return m.select("id", F.try_element_at("distances", hub).alias("hops"))
 
 
 def far_from_landmark(spark, sf_dir):
-    g = routes_graph(spark, sf_dir)
+    g = stored_routes_graph(spark, sf_dir)
     hub = hub_of(g)
     return G.far_from_landmark(G.hops_to_landmarks(g, hub), hub, FAR_HOPS)
 
