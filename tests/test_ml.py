@@ -66,3 +66,15 @@ def test_hash_split_stable_under_repartition(spark):
     ka = sorted(r.k for r in a.collect())
     assert ka == sorted(r.k for r in b.collect())
     assert 0.65 < len(ka) / 5000 < 0.75
+
+
+def test_logistic_metrics_match_evaluators(spark):
+    from quarry.plans import tables_ml as TM
+
+    sf = "/root/testdata/sf0.001"
+    got = TM.logistic_metrics(spark, sf).collect()[0]
+    train, _ = hash_split(TM.customer_frame(spark, sf), ["id"], 0.7, seed=4)
+    preds = TM._fitted_logistic(spark, sf).transform(train)
+    auc = BinaryClassificationEvaluator(labelCol="known_label", numBins=0).evaluate(preds)
+    acc = MulticlassClassificationEvaluator(labelCol="known_label", metricName="accuracy").evaluate(preds)
+    assert got.auc == pytest.approx(auc, abs=1e-8) and got.accuracy == pytest.approx(acc, abs=1e-8)
