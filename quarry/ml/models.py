@@ -10,6 +10,7 @@ from pyspark.ml.feature import Bucketizer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 
 from quarry.ml.features import encoding_pipeline
+from quarry.session import default_parallelism
 
 
 def logistic_pipeline(
@@ -73,7 +74,7 @@ def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) ->
     coalescing); iterative learners then use one core. The input is
     round-robin repartitioned and cached for the passes of the learners.
     """
-    n = partitions or train.sparkSession.sparkContext.defaultParallelism
+    n = partitions or default_parallelism(train.sparkSession)
     spread = train.repartition(n).persist()
     try:
         return pipeline.fit(spread)

@@ -9,6 +9,7 @@ from quarry.ml import features as FE
 from quarry.ml import metrics as M
 from quarry.ml import models as MO
 from quarry.ml.split import hash_split, label_split
+from quarry.session import app_id
 from quarry.sources.parquet import read_table
 
 # Fixed parameters of the catalogue.
@@ -102,7 +103,7 @@ _FITTED: dict = {}
 
 
 def _fitted_logistic(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir, "logistic")
+    key = (app_id(spark), sf_dir, "logistic")
     if key not in _FITTED:
         train, _ = hash_split(customer_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
         pipe = MO.logistic_pipeline(
@@ -159,7 +160,7 @@ FOREST_NUMS = ["o_totalprice", "c_acctbal"]
 def _fitted_forest(spark, sf_dir):
     """The forest fitted on the training split, reused within one
     application (the model and its metrics come from the same fit)."""
-    key = (spark.sparkContext.applicationId, sf_dir, "forest")
+    key = (app_id(spark), sf_dir, "forest")
     if key not in _FITTED:
         data = retail_frame(spark, sf_dir)
         train, _ = hash_split(data, ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)

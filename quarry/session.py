@@ -25,6 +25,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Broadcast bounds, stated rather than implied: the static planner only
+    # broadcasts a side whose estimated size is under 10 MB, AQE only one
+    # whose measured shuffle output is.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
 }
 
 
@@ -54,20 +59,26 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting it if needed.
+    """Return the shared directory for checkpoints and intermediate tables.
 
-    Order: the one already on the context; else ``spark.checkpoint.dir``
-    from the session conf; else (local mode only) a fresh private folder.
+    Order: ``spark.checkpoint.dir`` from the session conf; else the one
+    already on the context; else (local mode only) a fresh private folder.
     On a cluster without the setting this raises instead of silently using
     a machine-local path that executors cannot share.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client
+        sc = None
+    if sc is None:
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         if not _is_local(spark):
             raise RuntimeError(
@@ -79,6 +90,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores available to tasks (shuffle partitions as a fallback)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def app_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
