@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,4 +24,4 @@ def split_words(c: Column | str) -> Column:
 def split_list(c: Column | str, sep: str = ",") -> Column:
     """Plain separator split: no trimming, no case folding, empty items kept
     (``"x,,x"`` gives ``[x, '', x]``); null stays null."""
-    return F.split(_col(c), sep if sep not in ".|*+?()[]{}^$\\" else "\\" + sep)
+    return F.split(_col(c), re.escape(sep))

@@ -53,6 +53,11 @@ def run_available(
 
         w = w.foreachBatch(overwrite)
     elif sink_path is not None:
+        if output_mode != "append":
+            raise ValueError(
+                f"a Parquet sink takes append or complete output, not {output_mode!r}; "
+                "use foreach_batch (e.g. a merge) or a memory sink"
+            )
         w = w.format("parquet").option("path", sink_path)
     else:
         if not query_name:
