@@ -11,6 +11,8 @@ score holding a large share of the rows costs one partial row per task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,10 +23,17 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def confusion(df: DataFrame, label: Column | str, prediction: Column | str) -> DataFrame:
-    """``(label, prediction, n)``: bounded by the number of classes squared."""
+def confusion(
+    df: DataFrame,
+    label: Column | str,
+    prediction: Column | str,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """``(by..., label, prediction, n)``: bounded by groups x classes^2."""
     return df.groupBy(
-        _c(label).cast("double").alias("label"), _c(prediction).cast("double").alias("prediction")
+        *by,
+        _c(label).cast("double").alias("label"),
+        _c(prediction).cast("double").alias("prediction"),
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -33,21 +42,25 @@ def class_metrics(
     label: Column | str = "label",
     prediction: Column | str = "prediction",
     digits: int | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row: ``accuracy, weighted_precision, weighted_recall, weighted_f1``.
+    """``accuracy, weighted_precision, weighted_recall, weighted_f1`` (one
+    row, or one row per ``by`` group, computed in the same pass).
 
     Classes are the labels that occur; a class never predicted has
     precision 0; F1 is 0 when precision + recall is 0.
     """
-    cm = confusion(df, label, prediction)
-    by_label = cm.groupBy(F.col("label").alias("c")).agg(
+    keys = list(by)
+    cm = confusion(df, label, prediction, keys)
+    by_label = cm.groupBy(*keys, F.col("label").alias("c")).agg(
         F.sum("n").alias("n_c"),
         F.coalesce(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n"))), F.lit(0)).alias(
             "tp"
         ),
     )
-    by_pred = cm.groupBy(F.col("prediction").alias("c")).agg(F.sum("n").alias("n_p"))
-    per = by_label.join(by_pred, "c", "left").select(
+    by_pred = cm.groupBy(*keys, F.col("prediction").alias("c")).agg(F.sum("n").alias("n_p"))
+    per = by_label.join(by_pred, keys + ["c"], "left").select(
+        *keys,
         "n_c",
         "tp",
         F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_p")), F.lit(0.0)).alias("prec"),
@@ -59,14 +72,16 @@ def class_metrics(
     ).otherwise(F.lit(0.0))
     per = per.withColumn("f1", f1)
     n = F.sum("n_c")
-    out = per.agg(
+    out = per.groupBy(*keys).agg(
         F.try_divide(F.sum("tp").cast("double"), n).alias("accuracy"),
         F.try_divide(F.sum(F.col("n_c") * F.col("prec")), n).alias("weighted_precision"),
         F.try_divide(F.sum(F.col("n_c") * F.col("rec")), n).alias("weighted_recall"),
         F.try_divide(F.sum(F.col("n_c") * F.col("f1")), n).alias("weighted_f1"),
     )
     if digits is not None:
-        out = out.select(*[F.round(c, digits).alias(c) for c in out.columns])
+        out = out.select(
+            *keys, *[F.round(c, digits).alias(c) for c in out.columns if c not in keys]
+        )
     return out
 
 

@@ -176,15 +176,11 @@ def forest_model(spark, sf_dir):
 
 def forest_metrics(spark, sf_dir):
     """The four weighted metrics on the training split and on the test
-    split, one row each."""
+    split, one row each, from a single pass of the model over the data."""
     model = _fitted_forest(spark, sf_dir)
-    data = retail_frame(spark, sf_dir)
-    out = None
-    for name, part in zip(("train", "test"), hash_split(data, ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)):
-        m = M.class_metrics(model.transform(part), "rating", "prediction", digits=METRIC_DIGITS)
-        m = m.select(F.lit(name).alias("split"), "*")
-        out = m if out is None else out.unionByName(m)
-    return out
+    data = label_split(retail_frame(spark, sf_dir), ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
+    preds = model.transform(data)
+    return M.class_metrics(preds, "rating", "prediction", digits=METRIC_DIGITS, by=["split"])
 
 
 QUERIES = {

@@ -19,7 +19,7 @@ from quarry.plans.tables import TREND_MIN_COUNT, tagged_events
 from quarry.plans.tables_ml import BALANCE_SPLITS, SPLIT_SEED, TRAIN_FRACTION, customer_frame
 from quarry.session import scratch_path
 from quarry.sources.parquet import read_table
-from quarry.sources.sinks import write_n_files
+from quarry.sources.sinks import write_n_files, write_partitioned
 from quarry.streaming.scoring import metrics_per_batch
 from quarry.streaming.sinks import read_sink, run_available
 from quarry.streaming.sources import csv_stream, parquet_stream
@@ -80,18 +80,24 @@ def staged_events(spark, sf_dir) -> DataFrame:
 
 
 def stream_late_data(spark, sf_dir):
-    """Append-mode trend counts over a stream replayed block by block: each
-    block is appended to the source directory and processed by restarting
-    the query from its checkpoint, so the watermark carried between blocks
-    drops the late rows."""
+    """Append-mode trend counts over a stream replayed block by block.
+
+    The events are staged once, partitioned by arrival block (one scan of
+    the table). Each block is then copied into the source directory with a
+    partition-pruned read and processed by restarting the query from its
+    checkpoint, so the watermark carried between blocks drops the late rows.
+    """
     staged = staged_events(spark, sf_dir)
     schema = staged.drop("arrival").schema
-    blocks = [r[0] for r in staged.select("arrival").distinct().orderBy("arrival").collect()]
+    stage_dir = scratch_path(spark, "late-stage")
+    write_partitioned(staged, stage_dir, ["arrival"])
+    stage = spark.read.schema(staged.schema).parquet(stage_dir)
+    blocks = [r[0] for r in stage.select("arrival").distinct().orderBy("arrival").collect()]
     src_dir = scratch_path(spark, "late-src")
     ckpt = scratch_path(spark, "late-ckpt")
     out = scratch_path(spark, "late-out")
     for b in blocks:
-        staged.filter(F.col("arrival") == b).drop("arrival").write.mode("append").parquet(src_dir)
+        stage.filter(F.col("arrival") == b).drop("arrival").write.mode("append").parquet(src_dir)
         src = parquet_stream(spark, src_dir, schema)
         trend = trending_tags_stream(
             _tag_stream(src), "ts", "tag", 0, WINDOW, SLIDE, WATERMARK, "tag_count"

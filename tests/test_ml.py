@@ -78,3 +78,14 @@ def test_logistic_metrics_match_evaluators(spark):
     auc = BinaryClassificationEvaluator(labelCol="known_label", numBins=0).evaluate(preds)
     acc = MulticlassClassificationEvaluator(labelCol="known_label", metricName="accuracy").evaluate(preds)
     assert got.auc == pytest.approx(auc, abs=1e-8) and got.accuracy == pytest.approx(acc, abs=1e-8)
+
+
+def test_grouped_metrics_equal_per_group(spark):
+    rnd = random.Random(11)
+    rows = [(g, float(rnd.randint(0, 2)), float(rnd.randint(0, 3))) for g in ("a", "b") for _ in range(300)]
+    df = spark.createDataFrame(rows, "g string, label double, prediction double")
+    grouped = {r.g: r for r in M.class_metrics(df, by=["g"]).collect()}
+    for g in ("a", "b"):
+        single = M.class_metrics(df.filter(df.g == g)).collect()[0]
+        for c in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1"):
+            assert grouped[g][c] == pytest.approx(single[c], abs=1e-12)
