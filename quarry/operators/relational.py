@@ -92,9 +92,14 @@ def link_join(
     """Inner USING join of a link table to two dimensions:
     ``link JOIN left USING (left_key) JOIN right USING (right_key)``.
 
-    The physical strategy (broadcast when a side is small at run time,
-    otherwise sort-merge with skew splitting) is left to AQE.
+    With ``distinct`` the narrow link pairs are de-duplicated before the
+    joins (``distinct(L x A x B) = distinct(distinct(L) x A x B)``), so the
+    joins and the final de-duplication move fewer, narrower rows. The
+    physical strategy (broadcast when a side is small at run time, else
+    sort-merge with skew splitting) is left to AQE.
     """
+    if distinct:
+        link = link.distinct()
     joined = link.join(left, left_key).join(right, right_key)
     return joined.distinct() if distinct else joined
 
@@ -128,7 +133,8 @@ def row_loss(
     return out.withColumn(
         "loss_pct",
         F.round(
-            (F.col("n_before") - F.col("n_after")) / F.col("n_before") * 100.0, digits
+            F.try_divide(F.col("n_before") - F.col("n_after"), F.col("n_before")) * 100.0,
+            digits,
         ),
     )
 

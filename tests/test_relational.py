@@ -51,3 +51,9 @@ def test_top_n_total_order(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 7.0), (4, 1.0)], "k int, v double")
     out = R.top_n(df, 2, [F.col("v").desc(), F.col("k")]).collect()
     assert [r.k for r in out] == [2, 3]
+
+
+def test_row_loss_empty_input(spark):
+    df = spark.createDataFrame([], "k int, v string")
+    r = R.row_loss(df).collect()[0]
+    assert (r.n_before, r.n_after, r.loss_pct) == (0, 0, None)
