@@ -10,7 +10,6 @@ from pyspark.ml.feature import Bucketizer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 
 from quarry.ml.features import encoding_pipeline
-from quarry.session import default_parallelism
 
 
 def logistic_pipeline(
@@ -67,15 +66,21 @@ def forest_pipeline(
     return encoding_pipeline(cat_cols, num_cols, rf)
 
 
-def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
-    """Fit on ``train`` spread over at least one partition per core.
+def fit(
+    pipeline: Pipeline, train: DataFrame, min_partitions: int | None = None
+) -> PipelineModel:
+    """Fit ``pipeline`` on ``train``.
 
-    Small inputs arrive as one or two partitions (one Parquet split, AQE
-    coalescing); iterative learners then use one core. The input is
-    round-robin repartitioned and cached for the passes of the learners.
+    ``min_partitions`` spreads the input (round-robin, cached for the
+    learner's passes) before fitting: worth it for learners that do heavy
+    per-row work each pass (trees) on inputs that arrive as one or two
+    partitions; not for LBFGS-style learners, whose many small passes are
+    dominated by per-job overhead. Large inputs already have many
+    partitions and need neither.
     """
-    n = partitions or default_parallelism(train.sparkSession)
-    spread = train.repartition(n).persist()
+    if not min_partitions:
+        return pipeline.fit(train)
+    spread = train.repartition(min_partitions).persist()
     try:
         return pipeline.fit(spread)
     finally:

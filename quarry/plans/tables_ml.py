@@ -9,7 +9,7 @@ from quarry.ml import features as FE
 from quarry.ml import metrics as M
 from quarry.ml import models as MO
 from quarry.ml.split import hash_split, label_split
-from quarry.session import app_id
+from quarry.session import app_id, default_parallelism
 from quarry.sources.parquet import read_table
 
 # Fixed parameters of the catalogue.
@@ -164,7 +164,11 @@ def _fitted_forest(spark, sf_dir):
     if key not in _FITTED:
         data = retail_frame(spark, sf_dir)
         train, _ = hash_split(data, ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
-        _FITTED[key] = MO.fit(MO.forest_pipeline(FOREST_CATS, FOREST_NUMS, "rating"), train)
+        _FITTED[key] = MO.fit(
+            MO.forest_pipeline(FOREST_CATS, FOREST_NUMS, "rating"),
+            train,
+            min_partitions=default_parallelism(spark),
+        )
     return _FITTED[key]
 
 
