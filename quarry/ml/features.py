@@ -109,5 +109,5 @@ def encoding_stages(
     return stages
 
 
-def encoding_pipeline(cat_cols, num_cols, estimator, features_col: str = "features") -> Pipeline:
+def with_encoding(cat_cols, num_cols, estimator, features_col: str = "features") -> Pipeline:
     return Pipeline(stages=encoding_stages(cat_cols, num_cols, features_col) + [estimator])

@@ -1,4 +1,4 @@
-"""Model pipelines on MLlib estimators (fitting stays in MLlib)."""
+"""Model builders on MLlib estimators (fitting stays in MLlib)."""
 
 from __future__ import annotations
 
@@ -9,10 +9,10 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 
-from quarry.ml.features import encoding_pipeline
+from quarry.ml.features import with_encoding
 
 
-def logistic_pipeline(
+def make_logistic(
     bucket_col: str,
     splits: Sequence[float],
     category_col: str,
@@ -38,7 +38,7 @@ def logistic_pipeline(
     )
 
 
-def forest_pipeline(
+def make_forest(
     cat_cols: Sequence[str],
     num_cols: Sequence[str],
     label_col: str,
@@ -63,7 +63,7 @@ def forest_pipeline(
         maxMemoryInMB=max_memory_mb,
         cacheNodeIds=True,
     )
-    return encoding_pipeline(cat_cols, num_cols, rf)
+    return with_encoding(cat_cols, num_cols, rf)
 
 
 def fit(

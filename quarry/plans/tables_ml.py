@@ -106,7 +106,7 @@ def _fitted_logistic(spark, sf_dir):
     key = (app_id(spark), sf_dir, "logistic")
     if key not in _FITTED:
         train, _ = hash_split(customer_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
-        pipe = MO.logistic_pipeline(
+        pipe = MO.make_logistic(
             "c_acctbal", BALANCE_SPLITS, "c_mktsegment", "c_nationkey", "tier"
         )
         _FITTED[key] = MO.fit(pipe, train)
@@ -165,7 +165,7 @@ def _fitted_forest(spark, sf_dir):
         data = retail_frame(spark, sf_dir)
         train, _ = hash_split(data, ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
         _FITTED[key] = MO.fit(
-            MO.forest_pipeline(FOREST_CATS, FOREST_NUMS, "rating"),
+            MO.make_forest(FOREST_CATS, FOREST_NUMS, "rating"),
             train,
             min_partitions=default_parallelism(spark),
         )

@@ -108,13 +108,13 @@ def stream_late_data(spark, sf_dir):
 
 
 def stream_batch_metrics(spark, sf_dir):
-    """Fit the logistic pipeline on the training split, stage the test split
+    """Fit the logistic model on the training split, stage the test split
     as 20 Parquet files, stream them five files per batch and store the
     four metrics of every batch."""
     data = customer_frame(spark, sf_dir)
     train, test = hash_split(data, ["id"], TRAIN_FRACTION, SPLIT_SEED)
     model = MO.fit(
-        MO.logistic_pipeline("c_acctbal", BALANCE_SPLITS, "c_mktsegment", "c_nationkey", "tier"),
+        MO.make_logistic("c_acctbal", BALANCE_SPLITS, "c_mktsegment", "c_nationkey", "tier"),
         train,
     )
     src_dir = scratch_path(spark, "score-src")

@@ -68,3 +68,27 @@ def test_hop_property_on_tables(spark):
     for e in gr.edges.collect():
         if e.dst in hops:
             assert e.src in hops and hops[e.src] <= hops[e.dst] + 1
+
+
+def test_motif_path_and_triangle(spark):
+    e = [("a", "b"), ("b", "c"), ("c", "a"), ("b", "d"), ("d", "b")]
+    g = G.Graph.from_edges(spark.createDataFrame(e, "src string, dst string"))
+    tri = {(r.x, r.y, r.z) for r in G.find_motif(g, [("x", "y"), ("y", "z"), ("z", "x")]).collect()}
+    assert tri == {("a", "b", "c"), ("b", "c", "a"), ("c", "a", "b")}
+    # two-step paths x->y->z with no edge back z->y
+    paths = {(r.x, r.y, r.z) for r in G.find_motif(g, [("x", "y"), ("y", "z")], [("z", "y")]).collect()}
+    assert ("a", "b", "c") in paths and ("a", "b", "d") not in paths
+
+
+def test_max_hops_bound(g):
+    h = {r.id: r.hops for r in G.hops_to_landmarks(g, "DEN", max_hops=2).collect()}
+    assert h == {"DEN": 0, "A": 1, "B": 1, "D": 2}
+
+
+def test_loop_tables_live_under_checkpoint_dir(spark, g):
+    from quarry.plans.explain import plan_text
+    from quarry.session import ensure_checkpoint_dir
+
+    out = G.hops_to_landmarks(g, "DEN")
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+    assert base in plan_text(out, "formatted")
