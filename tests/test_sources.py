@@ -104,3 +104,52 @@ def test_n_file_writer(spark):
     files = [f for f in os.listdir(local) if f.endswith(".csv")]
     assert len(files) == 5
     assert spark.read.csv(path, schema="id long").count() == 100
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_FIELD = {
+    "ID": st.sampled_from(["1", "22", "x", "", "7"]),
+    "Date": st.sampled_from(["2024-01-01 00:00:00", "2024-02-03 04:05:06", "notadate"]),
+    "L": st.sampled_from(["5", "", "z9", "-3"]),
+}
+
+
+def _valid(fields):
+    if len(fields) != 3:
+        return False
+    i, d, l_ = fields
+    # an empty field is a well-formed null
+    return (i == "" or i.lstrip("-").isdigit()) and d != "notadate" and (
+        l_ == "" or l_.lstrip("-").isdigit()
+    )
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(_FIELD["ID"], _FIELD["Date"], _FIELD["L"], st.sampled_from([0, 0, 0, 1, -1])),
+        min_size=1,
+        max_size=12,
+    )
+)
+def test_strict_csv_projection_invariant(spark, tmp_path_factory, rows):
+    lines, keep = [], 0
+    for i, d, l_, shape in rows:
+        fields = [i, d, l_] + (["extra"] if shape == 1 else [])
+        if shape == -1:
+            fields = fields[:2]
+        lines.append(",".join(fields))
+        keep += _valid(fields)
+    path = str(tmp_path_factory.mktemp("strict"))
+    _write(path, "\n".join(lines) + "\n")
+    df = CSV.read_csv_strict(spark, path, STRICT_SCHEMA, header=False)
+    counts = {
+        df.count(),
+        len(df.collect()),
+        df.select("ID").count(),
+        df.select("L").count(),
+        df.select("Date").count(),
+    }
+    assert counts == {keep}
