@@ -92,3 +92,35 @@ def test_loop_tables_live_under_checkpoint_dir(spark, g):
     out = G.hops_to_landmarks(g, "DEN")
     base = ensure_checkpoint_dir(spark).replace("file:", "")
     assert base in plan_text(out, "formatted")
+
+
+from collections import deque  # noqa: E402
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def _bfs_to(edges, landmark):
+    into = {}
+    for s, d in edges:
+        into.setdefault(d, set()).add(s)
+    ids = {x for e in edges for x in e}
+    if landmark not in ids:
+        return {}
+    dist, q = {landmark: 0}, deque([landmark])
+    while q:
+        v = q.popleft()
+        for u in into.get(v, ()):
+            if u not in dist:
+                dist[u] = dist[v] + 1
+                q.append(u)
+    return dist
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9)), min_size=1, max_size=25))
+def test_hops_equal_python_bfs(spark, edges):
+    g = G.Graph.from_edges(spark.createDataFrame(edges, "src long, dst long"))
+    got = {(r.id, r.landmark): r.hops for r in G.hops_to_landmarks(g, [0, 1]).collect()}
+    want = {(v, lm): d for lm in (0, 1) for v, d in _bfs_to(edges, lm).items()}
+    assert got == want
