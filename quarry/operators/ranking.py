@@ -81,27 +81,49 @@ def pagerank(
     damping: float | None = None,
     pages: DataFrame | None = None,
     checkpoint_every: int = 3,
+    partitions: int | None = None,
+    skew_factor: float = 4.0,
 ) -> DataFrame:
     """Ranks after ``iterations`` rounds as ``(page, rank)``, highest first.
 
-    Each round is a join of the cached link edges with the current ranks
-    and a grouped sum with map-side partial sums, so a heavily linked
-    target costs one partial row per task. Edges are not pre-partitioned on
-    the page: a page with a huge out-list is then split over tasks by AQE's
-    skew-join handling (or the rank table is broadcast when AQE measures it
-    small) instead of landing in one partition. Every ``checkpoint_every``
-    rounds, and after the last, the ranks are written as a table under the
-    shared checkpoint directory (computed once, lineage cut).
+    Each round joins the cached link edges with the current ranks and sums
+    the contributions per target with map-side partial sums (a heavily
+    linked target costs one partial row per task).
+
+    Partitioning is chosen from one small aggregate over the edges: if no
+    page owns more than ``skew_factor`` times an even share of a partition,
+    the edges are hash-partitioned on the page once and cached, and each
+    round only the rank table (one row per page) is moved to match, so the
+    edges are never shuffled again. If some page is that hot, the edges are
+    cached as they are and each round's join shuffles both sides, letting
+    AQE split the hot page's partition (or broadcast a small rank table).
+    Every ``checkpoint_every`` rounds, and after the last, the ranks are
+    written as a table under the shared checkpoint directory.
     """
-    edges = link_edges_df.select("page", "target", "n_targets").persist()
+    spark = link_edges_df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = link_edges_df.select("page", "target", "n_targets").persist()
+    top, total = (
+        base.groupBy("page").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k"), F.sum("k")).first()
+    )
+    co_partition = bool(total) and top * n_parts <= skew_factor * total
+    if co_partition:
+        # one shuffle from the cache (sorted within partitions, so a
+        # sort-merge join never re-sorts it); the unpartitioned copy is dropped
+        edges = base.repartition(n_parts, "page").sortWithinPartitions("page").persist()
+        edges.count()
+        base.unpersist()
+    else:
+        edges = base
     try:
         ranks = initial_ranks(edges, pages)
         n_pages = None
         if damping is not None:
             n_pages = ranks.select(F.count(F.lit(1))).scalar()
         for i in range(iterations):
+            current = ranks.repartition(n_parts, "page") if co_partition else ranks
             summed = (
-                contributions(edges, ranks)
+                contributions(edges, current)
                 .groupBy(F.col("target").alias("page"))
                 .agg(F.sum("contrib").alias("rank"))
             )
