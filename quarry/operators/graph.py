@@ -175,6 +175,8 @@ def hops_to_landmarks(
     max_hops: int | None = None,
     compact_every: int = 8,
     broadcast_rows: int = 500_000,
+    partitions: int | None = None,
+    skew_factor: float = 4.0,
 ) -> DataFrame:
     """Fewest edges on a directed path from each vertex to each landmark.
 
@@ -194,18 +196,31 @@ def hops_to_landmarks(
     every ``compact_every`` levels the visited pairs are rewritten as one
     table so the anti join scans one relation, not one per level.
     Stops when a level is empty (or after ``max_hops`` levels).
+
+    The reversed edges are hash-partitioned on the target once (and a
+    frontier too large to broadcast is moved to match) unless one vertex
+    owns more than ``skew_factor`` times an even share of a partition, as
+    measured by one small aggregate; a hub keeps them unpartitioned, so its
+    edges spread over many partitions.
     """
     spark = g.edges.sparkSession
     base = scratch_path(spark, "hops")
-    # Cached as de-duplicated (id, prev) pairs, deliberately *not* hash
-    # partitioned on id: a vertex with a huge in-degree then spreads over
-    # many partitions, a small frontier is broadcast against it, and a large
-    # one goes through a shuffle join whose skewed partitions AQE splits.
-    rev = (
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rev_all = (
         g.edges.select(F.col("dst").alias("id"), F.col("src").alias("prev"))
         .distinct()
         .persist()
     )
+    top, total = (
+        rev_all.groupBy("id").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k"), F.sum("k")).first()
+    )
+    co_partition = bool(total) and top * n_parts <= skew_factor * total
+    if co_partition:
+        rev = rev_all.repartition(n_parts, "id").sortWithinPartitions("id").persist()
+        rev.count()
+        rev_all.unpersist()
+    else:
+        rev = rev_all
     start = _landmark_frame(g, landmarks).select(
         F.col("landmark").alias("id"), "landmark", F.lit(0).alias("hops")
     )
@@ -219,6 +234,8 @@ def hops_to_landmarks(
             frontier = layers[-1].select("id", "landmark")
             if n_front <= broadcast_rows:
                 frontier = F.broadcast(frontier)
+            elif co_partition:
+                frontier = frontier.repartition(n_parts, "id")
             cand = frontier.join(rev, "id").select(F.col("prev").alias("id"), "landmark")
             nxt = (
                 cand.join(visited, ["id", "landmark"], "left_anti")

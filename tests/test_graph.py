@@ -124,3 +124,9 @@ def test_hops_equal_python_bfs(spark, edges):
     got = {(r.id, r.landmark): r.hops for r in G.hops_to_landmarks(g, [0, 1]).collect()}
     want = {(v, lm): d for lm in (0, 1) for v, d in _bfs_to(edges, lm).items()}
     assert got == want
+
+
+@pytest.mark.parametrize("kw", [{"broadcast_rows": 0}, {"broadcast_rows": 0, "skew_factor": 0.0}])
+def test_hops_join_paths_agree(g, kw):
+    h = {r.id: r.hops for r in G.hops_to_landmarks(g, "DEN", **kw).collect()}
+    assert h == {"DEN": 0, "A": 1, "B": 1, "D": 2, "E": 3, "F": 4}

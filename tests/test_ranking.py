@@ -38,3 +38,9 @@ def test_total_rank_never_grows_with_one_line_per_page(spark):
 def test_damped_variant_optional(spark):
     got = _ranks(spark, ["a b", "b a"], iterations=5, damping=0.85)
     assert got["a"] == pytest.approx(0.5) and got["b"] == pytest.approx(0.5)
+
+
+@pytest.mark.parametrize("skew_factor", [4.0, 0.0])
+def test_partitioning_paths_agree(spark, skew_factor):
+    got = _ranks(spark, ["a b c", "b a a", "c b", "d a"], iterations=10, skew_factor=skew_factor)
+    assert got["a"] == pytest.approx(0.3984375, abs=1e-12) and got["c"] == pytest.approx(0.203125, abs=1e-12)
