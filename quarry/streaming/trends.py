@@ -5,7 +5,6 @@ checkpoint location."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quarry.functions.time import as_event_time
 from quarry.operators.trends import explode_tags, trending, windowed_counts

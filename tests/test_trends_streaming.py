@@ -2,7 +2,6 @@ import datetime as dt
 import os
 import time
 
-from pyspark.sql import functions as F
 
 from quarry.operators import trends as T
 from quarry.plans import tables as TB
