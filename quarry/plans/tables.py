@@ -24,6 +24,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.operators import graph as G
 from quarry.operators import ranking as R
@@ -163,7 +164,8 @@ def _part_lines_with_faults(spark, sf_dir) -> DataFrame:
         .when(F.col("p_size") == 2, F.concat_ws(",", *base))
         .otherwise(F.concat_ws(",", *base, price_txt))
     )
-    header = spark.range(1).select(F.lit(",".join(c.split()[0] for c in PART_DDL.split(", "))).alias("value"))
+    header_text = ",".join(StructType.fromDDL(PART_DDL).fieldNames())
+    header = spark.range(1).select(F.lit(header_text).alias("value"))
     return p.select(line.alias("value")).unionByName(header)
 
 
