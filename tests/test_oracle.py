@@ -6,7 +6,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
-SLOW = {"forest_model", "forest_metrics", "stream_batch_metrics", "stream_late_data"}
+SLOW = {"forest_model", "forest_metrics", "stream_batch_metrics"}
 
 
 @pytest.fixture(scope="module")
