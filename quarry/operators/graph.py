@@ -139,9 +139,15 @@ def one_way_neighbors(g: Graph, hub, alias: str = "id") -> DataFrame:
 
 def _landmark_frame(g: Graph, landmarks) -> DataFrame:
     """Landmarks (literals, a Column, or a DataFrame with ``landmark``)
-    restricted to ids present in the vertex table."""
+    restricted to ids present in the vertex table.
+
+    The vertex table is on the probe side in both forms, so the optimizer
+    pushes the landmark predicate (or semi join) below its union/distinct
+    down to the edge scans instead of de-duplicating every vertex first.
+    """
     if isinstance(landmarks, DataFrame):
-        lm = landmarks.select("landmark")
+        lm = landmarks.select("landmark").distinct()
+        found = g.vertices.join(lm, g.vertices["id"] == lm["landmark"], "left_semi")
     else:
         items: Iterable = (
             [landmarks] if isinstance(landmarks, (Column, str, int)) else landmarks
@@ -149,10 +155,8 @@ def _landmark_frame(g: Graph, landmarks) -> DataFrame:
         cond = F.lit(False)
         for item in items:
             cond = cond | (F.col("id") == _as_col(item))
-        lm = g.vertices.filter(cond).select(F.col("id").alias("landmark"))
-    return lm.join(
-        g.vertices.select(F.col("id").alias("landmark")), "landmark", "left_semi"
-    ).distinct()
+        found = g.vertices.filter(cond)
+    return found.select(F.col("id").alias("landmark"))
 
 
 def _write_level(df: DataFrame, path: str) -> tuple[DataFrame, int]:

@@ -130,3 +130,10 @@ def test_hops_equal_python_bfs(spark, edges):
 def test_hops_join_paths_agree(g, kw):
     h = {r.id: r.hops for r in G.hops_to_landmarks(g, "DEN", **kw).collect()}
     assert h == {"DEN": 0, "A": 1, "B": 1, "D": 2, "E": 3, "F": 4}
+
+
+def test_landmarks_as_dataframe(spark, g):
+    lm = spark.createDataFrame([("DEN",), ("H",), ("nowhere",), ("DEN",)], "landmark string")
+    got = {(r.id, r.landmark): r.hops for r in G.hops_to_landmarks(g, lm).collect()}
+    assert got[("DEN", "DEN")] == 0 and got[("C", "H")] == 1 and got[("F", "DEN")] == 4
+    assert not any(k[1] == "nowhere" for k in got)
