@@ -1,4 +1,20 @@
-"""Catalogue entries for feature stages, models and metrics."""
+"""Catalogue entries for feature stages, models and metrics.
+
+Mappings of the reference's inputs onto the driver tables:
+
+* bucketing: ``p_size`` of part at 10 / 20 / 30 / 40;
+* indexing and one-hot: ``c_mktsegment`` of customer; the keep-unseen
+  indexer is fitted on the small parts (``p_size <= 2``) and applied to all
+  parts, so brands missing from the fit set take the extra index;
+* assembling and scaling: ``(p_size, p_retailprice)`` of part;
+* class metrics: orders with label ``o_orderkey % 3`` and prediction 0 for
+  every fourth customer, else the label;
+* AUC: customers, label ``c_acctbal > 4000``, score
+  ``c_custkey % 50 + floor(c_acctbal / 500)``;
+* logistic model: customers, bucketed balance + segment index + nation,
+  label "rich" / "other"; forest: orders with customer attributes, label =
+  priority digit; both trained on a 70 % hash split of the key.
+"""
 
 from __future__ import annotations
 
