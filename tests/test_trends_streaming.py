@@ -117,3 +117,10 @@ def test_complete_mode_resumes_from_checkpoint(spark, tmp_dir):
         tuple(r) for r in T.trending_tags(staged, "ts", "tag", 0, count_alias="tag_count").collect()
     )
     assert got == want
+
+
+def test_tumbling_window_without_slide(spark):
+    rows = [(i, dt.datetime(2024, 1, 1, 0, 0) + dt.timedelta(minutes=20 * i), "t") for i in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    rep = T.trending_tags(df, "Date", "Hashtags", min_count=0, slide=None).collect()
+    assert [(r.window_start.hour, r.Count) for r in rep] == [(0, 3), (1, 3)]
