@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import mixing, pii, secrets
+from quarry.llm import html_text, mixing, packing, pii, secrets, toxicity
 from quarry.llm.common import table
 
 
@@ -18,5 +18,20 @@ def op7_secrets(spark, sf_dir):
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op7_secrets)}
+def op8_packing(spark, sf_dir):
+    return packing.digest(table(spark, sf_dir, "documents"))
+
+
+def op9_html(spark, sf_dir):
+    return html_text.digest(table(spark, sf_dir, "pages"))
+
+
+def op10_toxicity(spark, sf_dir):
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_pii, op2_mixing, op7_secrets, op8_packing, op9_html, op10_toxicity)
+}
 ORACLE_SQL = {"op2_mixing": mixing.ORACLE_SQL}

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE, ascii_lower, written
+from quarry.llm.common import SPACE, written
 from quarry.llm.spans import NONE, Kind, joined, ordered, with_spans
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -92,8 +92,8 @@ def _patterns(span: Column) -> Column:
     left = F.regexp_extract(span["before"], rf"([^{SPACE}]++)[{SPACE}]*+$", 1)
     right = F.regexp_extract(span["after"], rf"^[{SPACE}]*+([^{SPACE}]++)", 1)
     both = F.array(
-        F.struct(F.lit("L").alias("side"), ascii_lower(left).alias("word")),
-        F.struct(F.lit("R").alias("side"), ascii_lower(right).alias("word")),
+        F.struct(F.lit("L").alias("side"), F.lower(left).alias("word")),
+        F.struct(F.lit("R").alias("side"), F.lower(right).alias("word")),
     )
     return F.filter(both, lambda p: p["word"] != "")
 
@@ -107,7 +107,7 @@ def _fits(value: Column, kind: Column) -> Column:
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """(word, n): occurrences of every word of the corpus, lower case."""
-    parts = F.split(ascii_lower(F.col(text)), rf"[{SPACE}]+")
+    parts = F.split(F.lower(F.col(text)), rf"[{SPACE}]+")
     return docs.select(F.explode(parts).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -160,7 +160,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int =
     items = marked.select("doc_id", "mark", F.explode(F.concat("base", "candidates")).alias("s"))
     kind = F.when(F.col("s.kind") != "candidate", F.col("s.kind"))
     edges = (
-        items.select(ascii_lower(F.col("s.value")).alias("value"), kind.alias("kind"), F.explode(_patterns(F.col("s"))).alias("p"))
+        items.select(F.lower(F.col("s.value")).alias("value"), kind.alias("kind"), F.explode(_patterns(F.col("s"))).alias("p"))
         .groupBy(F.col("p.side").alias("side"), F.col("p.word").alias("word"), "value", "kind").agg(F.count("*").alias("n"))
     )
     scores = score_candidates(edges, word_counts(docs, text), rounds)
@@ -171,7 +171,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int =
     )
     found = (
         marked.select("doc_id", "mark", F.explode("candidates").alias("s"))
-        .join(best, ascii_lower(F.col("s.value")) == F.col("_value"))
+        .join(best, F.lower(F.col("s.value")) == F.col("_value"))
         .select("doc_id", "mark", F.col("s").withField("kind", F.col("found")).alias("s"))
         .groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set("s").alias("extra"))
     )
