@@ -32,10 +32,10 @@ SIZES = (4, 5)  #: lengths of the n-grams
 BITS = 22
 CHUNK = 1 << 20  #: characters hashed at once
 MAX_ROWS = 40_000
-MAX_FEATURES = 1 << 15
+MAX_FEATURES = 2048
 MIN_DOCS = 5  #: documents of the sample that a feature needs
 SMOOTHING = 1.0
-RIDGE = 1e-4
+RIDGE = 3e-4
 STEPS = 300
 THRESHOLD = 0.3
 
