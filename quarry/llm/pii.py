@@ -41,6 +41,7 @@ MIN_CONFIDENCE = 0.2  #: below it a pattern says nothing
 SMOOTHING = 2.0  #: added to a pattern's occurrences
 THRESHOLD = 0.5  #: score at which a candidate is found
 SALTS = 8
+BUCKETS = 1 << 18  #: hash buckets of the filter on the words that are counted
 
 
 def luhn(value: Column) -> Column:
@@ -105,18 +106,29 @@ def _fits(value: Column, kind: Column) -> Column:
     )
 
 
-def word_counts(docs: DataFrame, text: str) -> DataFrame:
-    """(word, n): occurrences of every word of the corpus, lower case."""
+def word_counts(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
+    """(word, n): occurrences in the whole corpus, lower case, of the words in
+    ``needed``. Other words are sorted out before the shuffle by the hash
+    buckets in use, a broadcast of at most BUCKETS numbers."""
+    bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")
+    used = needed.select(bucket.alias("_b")).distinct()
     parts = F.split(F.lower(F.col(text)), rf"[{SPACE}]+")
-    return docs.select(F.explode(parts).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return (
+        docs.select(F.explode(parts).alias("word")).withColumn("_b", bucket)
+        .join(F.broadcast(used), "_b", "left_semi")
+        .groupBy("word").agg(F.count("*").alias("n"))
+        .join(needed, "word", "left_semi")
+    )
 
 
-def score_candidates(edges: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def score_candidates(edges: DataFrame, docs: DataFrame, text: str, rounds: int = ROUNDS) -> DataFrame:
     """Scores the pattern-instance graph: (kind, value, score) of candidate
     values. ``edges``: side, word, value, kind (null: candidate), n."""
     edges = written(edges, "pii-edges")
-    needed = edges.select("word").distinct()
-    totals = written(counts.join(needed, "word", "left_semi"), "pii-totals")
+    # Patterns with fewer instances are never trusted: no need to count them.
+    several = edges.groupBy("side", "word", "value").agg(F.lit(1)).groupBy("side", "word").count()
+    needed = written(several.where(F.col("count") >= MIN_INSTANCES).select("word").distinct(), "pii-words")
+    totals = written(word_counts(docs, text, needed), "pii-totals")
     seeds = edges.where("kind is not null")
     # A candidate may be of every kind that its value fits.
     open_edges = edges.where("kind is null").drop("kind").withColumn(
@@ -163,7 +175,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int =
         items.select(F.lower(F.col("s.value")).alias("value"), kind.alias("kind"), F.explode(_patterns(F.col("s"))).alias("p"))
         .groupBy(F.col("p.side").alias("side"), F.col("p.word").alias("word"), "value", "kind").agg(F.count("*").alias("n"))
     )
-    scores = score_candidates(edges, word_counts(docs, text), rounds)
+    scores = score_candidates(edges, docs, text, rounds)
     best = (
         scores.where(F.col("score") >= threshold).groupBy("value")
         .agg(F.max_by("kind", F.struct(F.col("score"), F.col("kind"))).alias("found"))
