@@ -28,7 +28,8 @@ def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
         have = 1
         while have < n:  # doubling: p[k + i] = p[k] * p[i]
             more = min(have, n - have)
-            p[have : have + more] = p[:more] * (p[have - 1] * base)
+            with np.errstate(over="ignore"):  # arithmetic modulo 2^64
+                p[have : have + more] = p[:more] * (p[have - 1] * base)
             have += more
         _powers[name] = p
     return _powers[name][:n]
