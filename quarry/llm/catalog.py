@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import html_text, kneser_ney, mixing, packing, pii, secrets, toxicity
+from quarry.llm import html_text, kneser_ney, mixing, packing, permutation, pii, secrets, topk, toxicity
 from quarry.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op3_kneser_ney(spark, sf_dir):
     return kneser_ney.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark, sf_dir):
+    return topk.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op6_permutation(spark, sf_dir):
+    return permutation.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_secrets(spark, sf_dir):
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -36,6 +44,6 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_mixing, op3_kneser_ney, op7_secrets, op8_packing, op9_html, op10_toxicity)
+    for f in (op1_pii, op2_mixing, op3_kneser_ney, op4_topk, op6_permutation, op7_secrets, op8_packing, op9_html, op10_toxicity)
 }
-ORACLE_SQL = {"op2_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL = {"op2_mixing": mixing.ORACLE_SQL, "op4_topk": topk.ORACLE_SQL}
