@@ -37,8 +37,8 @@ from quarry.llm.vectors import best, cells, matrix, prepared, ranked, usable
 
 K, EVERY = 20, 20
 PIVOTS = 256  #: size of the sample
-LENGTH = 32  #: nearest pivots kept of each vector
-BUDGET = 0.22  #: share of a block that is reranked,
+LENGTH = 48  #: nearest pivots kept of each vector
+BUDGET = 0.25  #: share of a block that is reranked,
 LEAST = 400  #: and at least so many rows of it
 
 
