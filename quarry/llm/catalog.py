@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import html_text, kneser_ney, mixing, packing, permutation, pii, secrets, topk, toxicity
+from quarry.llm import html_text, kneser_ney, mixing, ngram_join, packing, permutation, pii, secrets, topk, toxicity
 from quarry.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_topk(spark, sf_dir):
     return topk.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op5_ngram_join(spark, sf_dir):
+    return ngram_join.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_permutation(spark, sf_dir):
     return permutation.digest(table(spark, sf_dir, "embeddings"))
 
@@ -44,6 +48,6 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_mixing, op3_kneser_ney, op4_topk, op6_permutation, op7_secrets, op8_packing, op9_html, op10_toxicity)
+    for f in (op1_pii, op2_mixing, op3_kneser_ney, op4_topk, op5_ngram_join, op6_permutation, op7_secrets, op8_packing, op9_html, op10_toxicity)
 }
 ORACLE_SQL = {"op2_mixing": mixing.ORACLE_SQL, "op4_topk": topk.ORACLE_SQL}
