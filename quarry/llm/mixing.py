@@ -50,7 +50,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     )
     level = (F.col("total") - F.col("full")) / (F.col("all_w") - F.col("full_w"))
     df = df.withColumn("level", level).withColumn(
-        "stop", F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(everything)
+        # It rises as long as the sources before are full indeed, then falls.
+        "stop", F.max("level").over(everything)
     )
     share = F.col("stop") * F.col("w")
     target = F.when(share >= F.col("cap"), F.col("cap").cast("double")).otherwise(share)
@@ -174,7 +175,7 @@ filled AS (
   FROM weighted
   WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 levelled AS (
-  SELECT *, min(CASE WHEN (total - full_) / (all_w - full_w) * w <= cap THEN (total - full_) / (all_w - full_w) END) OVER () AS stop
+  SELECT *, max((total - full_) / (all_w - full_w)) OVER () AS stop
   FROM filled),
 shares AS (
   SELECT source, source_size, cap, total,
