@@ -48,8 +48,8 @@ DROP = frozenset(
     "textarea input label dialog menu head title object canvas audio video".split()
 )
 BLOCK = frozenset(
-    "address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
-    "hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
+    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXT_BLOCK = HEADING | frozenset("p li dd dt td th pre blockquote figcaption summary caption address".split())
@@ -259,7 +259,10 @@ def _blocks(top: Node, out: list[str]) -> None:
             flush()
         elif isinstance(item, str):
             held.append(item)
-        elif not item.drop:
+        elif item.drop:
+            if item.tag in BLOCK:
+                flush()
+        else:
             if item.tag == "br":
                 held.append(" ")
                 continue
