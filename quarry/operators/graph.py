@@ -12,12 +12,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.skew import hot_slices
 from quarry.session import cut_lineage, scratch_path
 
 
@@ -27,10 +29,11 @@ class Graph:
 
     vertices: DataFrame
     edges: DataFrame
+    derived: bool = False  # the vertices are the edges' ends
 
     @staticmethod
     def from_edges(edges: DataFrame) -> "Graph":
-        return Graph(vertices_of(edges), edges)
+        return Graph(vertices_of(edges), edges, derived=True)
 
 
 def edges_within(
@@ -43,72 +46,77 @@ def edges_within(
     """Distinct directed ``(src, dst)`` routes whose both ends are in
     ``allowed``.
 
-    Two left-semi joins: an id listed twice in ``allowed`` cannot multiply
-    edges, and only the route columns travel through the shuffles.
+    Two left-semi joins, then the de-duplication: excluded routes never reach
+    its shuffle, an id listed twice in ``allowed`` cannot multiply edges, and
+    only the two route columns travel.
     """
     ids = allowed.select(F.col(allowed_id).alias("_vid"))
-    pairs = routes.select(
-        F.col(src_col).alias("src"), F.col(dst_col).alias("dst")
-    ).distinct()
-    return pairs.join(ids, pairs.src == ids._vid, "left_semi").join(
+    pairs = routes.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
+    inside = pairs.join(ids, pairs.src == ids._vid, "left_semi").join(
         ids, pairs.dst == ids._vid, "left_semi"
     )
+    return inside.distinct()
 
 
 def vertices_of(edges: DataFrame) -> DataFrame:
-    """Every id that occurs as a source or a destination (SQL UNION)."""
-    return (
-        edges.select(F.col("src").alias("id"))
-        .union(edges.select(F.col("dst").alias("id")))
-        .distinct()
-    )
+    """Every id that occurs as a source or a destination, in one pass over
+    the edges."""
+    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
 def graph_counts(g: Graph) -> DataFrame:
-    """One row: ``n_vertices``, ``n_edges`` (two scalar sub-queries)."""
-    spark = g.edges.sparkSession
-    return spark.range(1).select(
-        g.vertices.select(F.count(F.lit(1))).scalar().alias("n_vertices"),
-        g.edges.select(F.count(F.lit(1))).scalar().alias("n_edges"),
+    """One row: ``n_vertices``, ``n_edges``. Where the vertices are the
+    edges' ends, both come from one pass over the edges."""
+    if not g.derived:
+        return g.edges.sparkSession.range(1).select(
+            g.vertices.select(F.count(F.lit(1))).scalar().alias("n_vertices"),
+            g.edges.select(F.count(F.lit(1))).scalar().alias("n_edges"),
+        )
+    end = lambda name, starts: F.struct(F.col(name).alias("id"), F.lit(starts).alias("starts"))
+    ends = g.edges.select(F.explode(F.array(end("src", 1), end("dst", 0))).alias("e"))
+    per_vertex = ends.groupBy("e.id").agg(F.sum("e.starts").alias("starts"))
+    return per_vertex.agg(
+        F.count(F.lit(1)).alias("n_vertices"), F.coalesce(F.sum("starts"), F.lit(0)).alias("n_edges")
     )
 
 
 def find_motif(
     g: Graph,
-    positive: Sequence[tuple[str, str]],
+    positive: Sequence[tuple[str, ...]],
     negative: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
     """Match a motif given as edge terms over named vertices.
 
     ``positive`` terms ``(u, v)`` require an edge u->v (inner joins on the
-    endpoints already bound); ``negative`` terms require that no edge u->v
-    exists (left-anti joins; both ends must be bound by positive terms).
-    Returns one column per vertex name, holding the vertex id.
+    endpoints already bound); a third name ``(u, v, e)`` also returns the
+    matched edge as a struct column ``e`` with all its attributes.
+    ``negative`` terms require that no edge u->v exists (left-anti joins;
+    both ends must be bound by positive terms). Returns one column per vertex
+    name, holding the vertex id, and one per edge name.
     """
     if not positive:
         raise ValueError("a motif needs at least one positive edge term")
-    e = g.edges.select("src", "dst")
-    (u0, v0) = positive[0]
-    if u0 == v0:
-        out = e.filter(F.col("src") == F.col("dst")).select(F.col("src").alias(u0))
-    else:
-        out = e.select(F.col("src").alias(u0), F.col("dst").alias(v0))
-    bound = {u0, v0}
-    for u, v in positive[1:]:
-        step = e.select(F.col("src").alias(u), F.col("dst").alias(v))
-        if u == v:
-            step = e.filter(F.col("src") == F.col("dst")).select(F.col("src").alias(u))
+
+    def term(u: str, v: str, name: str | None = None) -> DataFrame:
+        edges = g.edges.filter(F.col("src") == F.col("dst")) if u == v else g.edges
+        ends = [F.col("src").alias(u)] + ([F.col("dst").alias(v)] if u != v else [])
+        return edges.select(*ends, *([F.struct(*g.edges.columns).alias(name)] if name else []))
+
+    out = term(*positive[0])
+    bound = set(positive[0][:2])
+    for t in positive[1:]:
+        u, v = t[:2]
         keys = [n for n in dict.fromkeys((u, v)) if n in bound]
         if not keys:
             # A term sharing no vertex with the pattern so far would need a
             # cross product; such motifs are rejected.
             raise ValueError(f"term ({u})->({v}) is not connected to the motif")
-        out = out.join(step, keys, "inner")
+        out = out.join(term(*t), keys, "inner")
         bound |= {u, v}
     for u, v in negative:
         if u not in bound or v not in bound:
             raise ValueError(f"negated term ({u})->({v}) uses an unbound vertex")
-        rev = e.select(F.col("src").alias("_nu"), F.col("dst").alias("_nv"))
+        rev = g.edges.select(F.col("src").alias("_nu"), F.col("dst").alias("_nv"))
         out = out.join(
             rev, (out[u] == rev["_nu"]) & (out[v] == rev["_nv"]), "left_anti"
         )
@@ -142,8 +150,8 @@ def _landmark_frame(g: Graph, landmarks) -> DataFrame:
     restricted to ids present in the vertex table.
 
     The vertex table is on the probe side in both forms, so the optimizer
-    pushes the landmark predicate (or semi join) below its union/distinct
-    down to the edge scans instead of de-duplicating every vertex first.
+    applies the landmark predicate (or semi join) before its distinct instead
+    of de-duplicating every vertex first.
     """
     if isinstance(landmarks, DataFrame):
         lm = landmarks.select("landmark").distinct()
@@ -159,105 +167,74 @@ def _landmark_frame(g: Graph, landmarks) -> DataFrame:
     return found.select(F.col("id").alias("landmark"))
 
 
-def _write_level(df: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """Write ``df`` as a Parquet table and read it back: one computation,
-    a lineage cut (the next level's plan starts at these files) and a copy
-    on shared storage that survives the loss of any executor. The count is
-    answered from the Parquet footers.
-
-    (Collecting the count with ``DataFrame.observe`` during the write would
-    save that small job, but once used it leaves the session holding an
-    object that cannot be serialized, which breaks tasks of MLlib models
-    that keep a reference to the session.)"""
-    back = cut_lineage(df, "level", path)
-    return back, back.count()
-
-
 def hops_to_landmarks(
     g: Graph,
     landmarks,
     max_hops: int | None = None,
-    compact_every: int = 8,
-    broadcast_rows: int = 500_000,
+    broadcast_bytes: int = 8 << 20,
     partitions: int | None = None,
-    skew_factor: float = 4.0,
 ) -> DataFrame:
     """Fewest edges on a directed path from each vertex to each landmark.
 
     Long form ``(id, landmark, hops)``; the landmark itself has 0 and
     vertices that cannot reach a landmark have no row for it.
 
-    Breadth-first search over reversed edges, one distributed job per
-    level: the frontier joins the cached reversed edges. The exact row
-    count of every level is known, so a frontier of at most
-    ``broadcast_rows`` rows (two ids each) is broadcast and the edges are
-    streamed in place; a larger one goes through a shuffle join whose
-    skewed partitions (a hub) AQE splits. New ``(id, landmark)`` pairs
-    are kept with an anti join against the visited levels and
-    de-duplicated on the same keys (no extra shuffle). Each
-    level is written as a table under the shared checkpoint directory, so
-    plans stay one level deep and a lost executor costs at most one level;
-    every ``compact_every`` levels the visited pairs are rewritten as one
-    table so the anti join scans one relation, not one per level.
-    Stops when a level is empty (or after ``max_hops`` levels).
-
-    The reversed edges are hash-partitioned on the target once (and a
-    frontier too large to broadcast is moved to match) unless one vertex
-    owns more than ``skew_factor`` times an even share of a partition, as
-    measured by one small aggregate; a hub keeps them unpartitioned, so its
-    edges spread over many partitions.
+    Breadth-first search over reversed edges, one distributed job per level:
+
+    * The reversed edges are hash-partitioned on the target once, a hub's
+      edges over several slices (``operators.skew``). A frontier whose
+      measured size is at most ``broadcast_bytes`` is broadcast; a larger one
+      is moved to the edges' partitions.
+    * Candidates are de-duplicated first, with map-side reduction: many edges
+      into one new vertex cost one row per task.
+    * Visited pairs are one table bucketed on ``(id, landmark)``, to which
+      every level is appended. The de-duplicated candidates already have that
+      partitioning, so only they move and the visited pairs never do.
+
+    The table lies under the shared checkpoint directory: a lost executor
+    costs at most one level. Stops when a level is empty (or after
+    ``max_hops`` levels).
     """
     spark = g.edges.sparkSession
-    base = scratch_path(spark, "hops")
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rev_all = (
-        g.edges.select(F.col("dst").alias("id"), F.col("src").alias("prev"))
-        .distinct()
-        .persist()
-    )
-    top, total = (
-        rev_all.groupBy("id").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k"), F.sum("k")).first()
-    )
-    co_partition = bool(total) and top * n_parts <= skew_factor * total
-    if co_partition:
-        rev = rev_all.repartition(n_parts, "id").sortWithinPartitions("id").persist()
-        rev.count()
-        rev_all.unpersist()
-    else:
-        rev = rev_all
+    reversed_edges = g.edges.select(F.col("dst").alias("id"), F.col("src").alias("prev")).distinct()
+    reversed_edges = cut_lineage(reversed_edges, "reversed")
+    hubs = hot_slices(reversed_edges, "id", n_parts)
+    rev = hubs.spread(reversed_edges, "prev").repartition(n_parts, "id", "salt").persist()
     start = _landmark_frame(g, landmarks).select(
         F.col("landmark").alias("id"), "landmark", F.lit(0).alias("hops")
     )
+    table, path = f"quarry_hops_{uuid.uuid4().hex}", scratch_path(spark, "hops")
+
+    def append(df: DataFrame) -> None:
+        (
+            df.write.mode("append").format("parquet").bucketBy(n_parts, "id", "landmark")
+            .option("path", path).saveAsTable(table)
+        )
+
+    size = F.sum(sum((F.octet_length(F.col(c).cast("string")) + 16 for c in ("id", "landmark")), F.lit(0)))
     try:
-        layer, n_front = _write_level(start, f"{base}/level=0")
-        layers = [layer]
-        visited = layer.select("id", "landmark")
+        append(start)
         level = 0
-        while n_front > 0 and (max_hops is None or level < max_hops):
+        while max_hops is None or level < max_hops:
+            frontier = spark.table(table).filter(F.col("hops") == level).select("id", "landmark")
+            rows, held = frontier.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+            if not rows:
+                break
             level += 1
-            frontier = layers[-1].select("id", "landmark")
-            if n_front <= broadcast_rows:
+            frontier = hubs.repeat(frontier)
+            if held <= broadcast_bytes:
                 frontier = F.broadcast(frontier)
-            elif co_partition:
-                frontier = frontier.repartition(n_parts, "id")
-            cand = frontier.join(rev, "id").select(F.col("prev").alias("id"), "landmark")
-            nxt = (
-                cand.join(visited, ["id", "landmark"], "left_anti")
-                .distinct()
-                .withColumn("hops", F.lit(level))
+            reached = (
+                frontier.join(rev, ["id", "salt"]).select(F.col("prev").alias("id"), "landmark").distinct()
             )
-            layer, n_front = _write_level(nxt, f"{base}/level={level}")
-            if n_front:
-                layers.append(layer)
-                visited = visited.unionByName(layer.select("id", "landmark"))
-                if level % compact_every == 0:
-                    visited, _ = _write_level(visited, f"{base}/visited={level}")
+            visited = spark.table(table).select("id", "landmark")
+            append(reached.join(visited, ["id", "landmark"], "left_anti").withColumn("hops", F.lit(level)))
     finally:
         rev.unpersist()
-    out = layers[0]
-    for layer in layers[1:]:
-        out = out.unionByName(layer)
-    return out.select("id", "landmark", F.col("hops").cast("int").alias("hops"))
+        schema = start.schema
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # its files stay at the path
+    return spark.read.schema(schema).parquet(path)
 
 
 def hops_map(g: Graph, hops: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.arrays import head, tail_distinct
 from quarry.functions.strings import split_words
+from quarry.operators.skew import hot_slices
 from quarry.session import cut_lineage
 
 
@@ -49,13 +50,15 @@ def link_edges(links: DataFrame) -> DataFrame:
 
 
 def edges_as_links(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """A graph's distinct edges as link edges, one line per source page.
-    The out-degree is a grouped count (no per-page list is built)."""
-    e = edges.select(F.col(src).alias("page"), F.col(dst).alias("target")).distinct()
-    deg = e.groupBy("page").agg(F.count(F.lit(1)).alias("n_targets"))
-    return e.join(deg, "page").select(
-        F.col("page").alias("line_id"), "page", "target", "n_targets"
-    )
+    """A graph's distinct edges as link edges ``(page, target)``, one line per
+    source page. They carry no count: a page's out-degree belongs to the page
+    table and is divided there (see :func:`out_degrees`)."""
+    return edges.select(F.col(src).alias("page"), F.col(dst).alias("target")).distinct()
+
+
+def out_degrees(link_edges_df: DataFrame) -> DataFrame:
+    """``(page, degree)``: the number of edges of each page."""
+    return link_edges_df.groupBy("page").agg(F.count(F.lit(1)).alias("degree"))
 
 
 def initial_ranks(link_edges_df: DataFrame, pages: DataFrame | None = None) -> DataFrame:
@@ -66,12 +69,28 @@ def initial_ranks(link_edges_df: DataFrame, pages: DataFrame | None = None) -> D
     return owners.select("page", (F.lit(1.0) / n).alias("rank"))
 
 
-def contributions(link_edges_df: DataFrame, ranks: DataFrame) -> DataFrame:
-    """One round's messages per edge: ``(page, target, contrib)`` with
-    ``contrib = rank(page) / n_targets``; edges of pages without a rank
-    send nothing (inner join)."""
-    return link_edges_df.join(ranks, "page").select(
-        "page", "target", (F.col("rank") / F.col("n_targets")).alias("contrib")
+def shares(ranks: DataFrame, degrees: DataFrame | None) -> DataFrame:
+    """``(page, share)``: what a page sends along an edge; the whole rank
+    where the edges carry their lines' target counts (``degrees`` None)."""
+    if degrees is None:
+        return ranks.select("page", F.col("rank").alias("share"))
+    return ranks.join(degrees, "page").select("page", (F.col("rank") / F.col("degree")).alias("share"))
+
+
+def _message(link_edges_df: DataFrame):
+    if "n_targets" in link_edges_df.columns:
+        return F.col("share") / F.col("n_targets")
+    return F.col("share")
+
+
+def contributions(link_edges_df: DataFrame, ranks: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+    """One round's messages per edge: ``(page, target, contrib)``; edges of
+    pages without a rank send nothing (inner join). The count divided by is
+    the edge's ``n_targets``, or else the page's degree."""
+    if degrees is None and "n_targets" not in link_edges_df.columns:
+        degrees = out_degrees(link_edges_df)
+    return link_edges_df.join(shares(ranks, degrees), "page").select(
+        "page", "target", _message(link_edges_df).alias("contrib")
     )
 
 
@@ -82,57 +101,43 @@ def pagerank(
     pages: DataFrame | None = None,
     checkpoint_every: int = 3,
     partitions: int | None = None,
-    skew_factor: float = 4.0,
 ) -> DataFrame:
     """Ranks after ``iterations`` rounds as ``(page, rank)``, highest first.
 
-    Each round joins the cached link edges with the current ranks and sums
-    the contributions per target with map-side partial sums (a heavily
-    linked target costs one partial row per task).
-
-    Partitioning is chosen from one small aggregate over the edges: if no
-    page owns more than ``skew_factor`` times an even share of a partition,
-    the edges are hash-partitioned on the page once and cached, and each
-    round only the rank table (one row per page) is moved to match, so the
-    edges are never shuffled again. If some page is that hot, the edges are
-    cached as they are and each round's join shuffles both sides, letting
-    AQE split the hot page's partition (or broadcast a small rank table).
+    The edges are partitioned and cached once, on the page and, for pages
+    that own more edges than an even partition, on a salt
+    (``operators.skew``): a hot page's edges lie in several partitions in
+    every round. A round moves the pages' shares (one row per page, a hot one
+    once per slice) and sums the contributions per target with map-side
+    partial sums. Out-degrees are divided in the page table, so no round and
+    no preparation joins edges with counts.
+
     Every ``checkpoint_every`` rounds, and after the last, the ranks are
     written as a table under the shared checkpoint directory.
     """
     spark = link_edges_df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = link_edges_df.select("page", "target", "n_targets").persist()
-    top, total = (
-        base.groupBy("page").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k"), F.sum("k")).first()
+    counted = "n_targets" in link_edges_df.columns
+    base = cut_lineage(
+        link_edges_df.select("page", "target", *(["n_targets"] if counted else [])), "link-edges"
     )
-    co_partition = bool(total) and top * n_parts <= skew_factor * total
-    if co_partition:
-        # one shuffle from the cache (sorted within partitions, so a
-        # sort-merge join never re-sorts it); the unpartitioned copy is dropped
-        edges = base.repartition(n_parts, "page").sortWithinPartitions("page").persist()
-        edges.count()
-        base.unpersist()
-    else:
-        edges = base
+    hot = hot_slices(base, "page", n_parts)
+    edges = partitioned_edges(base, hot, n_parts).persist()
+    degrees = None if counted else cut_lineage(out_degrees(base), "out-degrees")
     try:
-        ranks = initial_ranks(edges, pages)
-        n_pages = None
-        if damping is not None:
-            n_pages = ranks.select(F.count(F.lit(1))).scalar()
+        ranks = cut_lineage(initial_ranks(base, pages), "ranks-0")
+        n_pages = ranks.select(F.count(F.lit(1))).scalar() if damping is not None else None
         for i in range(iterations):
-            current = ranks.repartition(n_parts, "page") if co_partition else ranks
+            sent = hot.repeat(shares(ranks, degrees)).repartition(n_parts, "page", "salt")
             summed = (
-                contributions(edges, current)
+                edges.join(sent, ["page", "salt"])
                 .groupBy(F.col("target").alias("page"))
-                .agg(F.sum("contrib").alias("rank"))
+                .agg(F.sum(_message(edges)).alias("rank"))
             )
             if damping is not None:
                 summed = summed.select(
                     "page",
-                    ((F.lit(1.0 - damping) / n_pages) + F.lit(damping) * F.col("rank")).alias(
-                        "rank"
-                    ),
+                    ((F.lit(1.0 - damping) / n_pages) + F.lit(damping) * F.col("rank")).alias("rank"),
                 )
             ranks = summed
             if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
@@ -140,3 +145,8 @@ def pagerank(
     finally:
         edges.unpersist()
     return ranks.orderBy(F.col("rank").desc(), F.col("page").asc())
+
+
+def partitioned_edges(base: DataFrame, hot, n_parts: int) -> DataFrame:
+    """Edges in ``n_parts`` partitions by (page, salt), sorted within."""
+    return hot.spread(base, "target").repartition(n_parts, "page", "salt").sortWithinPartitions("page", "salt")

@@ -6,7 +6,6 @@ All operators take and return DataFrames; actions are left to the caller.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,12 +18,6 @@ def count_where(df: DataFrame, condition: Column, alias: str = "n") -> DataFrame
     return df.filter(condition).agg(F.count(F.lit(1)).alias(alias))
 
 
-def _temp_view(df: DataFrame, prefix: str) -> str:
-    name = f"{prefix}_{uuid.uuid4().hex[:10]}"
-    df.createOrReplaceTempView(name)
-    return name
-
-
 def count_where_sql(
     df: DataFrame, column: str, value, alias: str = "n"
 ) -> DataFrame:
@@ -32,10 +25,10 @@ def count_where_sql(
 
     The value is bound as a named parameter, never pasted into the text.
     """
-    view = _temp_view(df, "qv_count")
     return df.sparkSession.sql(
-        f"SELECT COUNT(*) AS {alias} FROM {view} WHERE `{column}` = :value",
+        f"SELECT COUNT(*) AS {alias} FROM {{rows}} WHERE `{column}` = :value",
         args={"value": value},
+        rows=df,  # a view that is dropped once the query is analysed
     )
 
 
@@ -65,13 +58,13 @@ def avg_by_group_sql(
     digits: int | None = None,
 ) -> DataFrame:
     """SQL twin of :func:`avg_by_group`."""
-    view = _temp_view(df, "qv_avg")
     expr = f"AVG(`{value}`)"
     if digits is not None:
         expr = f"ROUND({expr}, {int(digits)})"
     return df.sparkSession.sql(
-        f"SELECT `{key}`, {expr} AS {alias} FROM {view} "
-        f"GROUP BY `{key}` ORDER BY {alias} DESC, `{key}` ASC"
+        f"SELECT `{key}`, {expr} AS {alias} FROM {{rows}} "
+        f"GROUP BY `{key}` ORDER BY {alias} DESC, `{key}` ASC",
+        rows=df,
     )
 
 
@@ -92,16 +85,15 @@ def link_join(
     """Inner USING join of a link table to two dimensions:
     ``link JOIN left USING (left_key) JOIN right USING (right_key)``.
 
-    With ``distinct`` the narrow link pairs are de-duplicated before the
-    joins (``distinct(L x A x B) = distinct(distinct(L) x A x B)``), so the
-    joins and the final de-duplication move fewer, narrower rows. The
-    physical strategy (broadcast when a side is small at run time, else
-    sort-merge with skew splitting) is left to AQE.
+    With ``distinct`` the three inputs are de-duplicated before the joins.
+    All their columns are kept, so the joined rows are then distinct by
+    themselves and the wide result is never shuffled for it. The physical
+    strategy (broadcast when a side is small at run time, else sort-merge
+    with skew splitting) is left to AQE.
     """
     if distinct:
-        link = link.distinct()
-    joined = link.join(left, left_key).join(right, right_key)
-    return joined.distinct() if distinct else joined
+        link, left, right = link.distinct(), left.distinct(), right.distinct()
+    return link.join(left, left_key).join(right, right_key)
 
 
 def top_n(

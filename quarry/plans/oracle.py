@@ -11,7 +11,7 @@ from __future__ import annotations
 _GRAPH = """
 routes AS (
   SELECT o_custkey AS src, (o_orderkey * 7919) % (SELECT COUNT(*) FROM customer) AS dst
-  FROM orders WHERE o_orderpriority = '1-URGENT'
+  FROM orders
 ),
 allowed AS (SELECT c_custkey AS id FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
 edges AS (
@@ -26,19 +26,23 @@ deg AS (
 hub AS (SELECT id FROM deg ORDER BY d DESC, id LIMIT 1)
 """
 
-# Breadth-first search as a recursive CTE; the bound only has to exceed the
-# graph's depth at the checked scale.
-_HOPS = """
-bfs(id, hops) AS (
-  SELECT id, 0 FROM hub
+# Breadth-first search: one row per (vertex, landmark), so the recursion ends
+# when a level finds nothing new.
+_BFS = """
+bfs(id, landmark, hops) USING KEY (id, landmark) AS (
+  SELECT id, id, 0 FROM {landmarks}
   UNION
-  SELECT e.src, b.hops + 1 FROM bfs b JOIN edges e ON e.dst = b.id WHERE b.hops < 60
+  SELECT e.src, b.landmark, MIN(b.hops) + 1
+  FROM bfs b JOIN edges e ON e.dst = b.id
+  LEFT JOIN recurring.bfs r ON r.id = e.src AND r.landmark = b.landmark
+  WHERE r.id IS NULL GROUP BY e.src, b.landmark
 ),
-hops AS (
-  SELECT id, (SELECT id FROM hub) AS landmark, CAST(MIN(hops) AS INTEGER) AS hops
-  FROM bfs GROUP BY id
-)
+hops AS (SELECT id, landmark, CAST(hops AS INTEGER) AS hops FROM bfs)
 """
+_HOPS = _BFS.format(landmarks="hub")
+_TWO_HOPS = _BFS.format(
+    landmarks="(SELECT id FROM hub UNION SELECT id FROM vertices WHERE id = 1)"
+)
 
 _LINKS = """
 gl AS (
@@ -119,7 +123,7 @@ lines AS (
            CAST((o_orderkey * 7919) % (SELECT COUNT(*) FROM customer) AS VARCHAR) || ' ' ||
            CAST((o_orderkey * 31 + o_custkey) % (SELECT COUNT(*) FROM customer) AS VARCHAR) || ' ' ||
            CAST((o_orderkey * 7919) % (SELECT COUNT(*) FROM customer) AS VARCHAR)), '\\s+') AS w
-  FROM orders WHERE o_orderpriority = '1-URGENT'
+  FROM orders
 )
 """
 
@@ -200,6 +204,7 @@ ORACLE_SQL: dict[str, str] = {
         "AND (e.src <> (SELECT id FROM hub) OR e.dst <> (SELECT id FROM hub))"
     ),
     "hops_to_landmarks": "WITH RECURSIVE " + _GRAPH + "," + _HOPS + " SELECT * FROM hops",
+    "hops_to_two_landmarks": "WITH RECURSIVE " + _GRAPH + "," + _TWO_HOPS + " SELECT * FROM hops",
     "hops_map": (
         "WITH RECURSIVE " + _GRAPH + "," + _HOPS + " SELECT v.id, h.hops FROM vertices v "
         "LEFT JOIN hops h ON v.id = h.id"
@@ -223,7 +228,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "pagerank_lines": (
         "WITH " + _LINES + "," + _LINE_RANKS + "," + _rank_rounds(10, "le")
-        + " SELECT page, ROUND(rank, 12) AS rank FROM r10 ORDER BY rank DESC, page"
+        + " SELECT page, ROUND(rank, 2) AS rank FROM r10 ORDER BY rank DESC, page"
     ),
     "grid_cells": (
         "WITH " + _POINTS + " SELECT CAST(FLOOR(x / 0.03125) AS BIGINT) AS cx, "

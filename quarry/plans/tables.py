@@ -7,11 +7,11 @@ tables; column names match one for one.
 
 Mappings of the reference's inputs onto the driver tables:
 
-* routes graph: urgent orders give ``src = o_custkey`` ->
+* routes graph: orders give ``src = o_custkey`` ->
   ``dst = (o_orderkey * 7919) % (number of customers)``; allowed vertices
   are customers outside the HOUSEHOLD segment; the hub / landmark is the
   vertex with most incident edges (lowest id on ties).
-* link lines: one text line per urgent order, ``"<cust> <dstA> <dstB> <dstA>"``
+* link lines: one text line per order, ``"<cust> <dstA> <dstB> <dstA>"``
   with irregular blanks.
 * points: ``id = vec_id`` as a string, ``x, y`` = first two embedding
   components as doubles; threshold 0.02, cell 1/32.
@@ -37,7 +37,6 @@ from quarry.sources.parquet import read_table
 from quarry.sources.sinks import write_n_files, write_partitioned
 
 # Fixed parameters of the catalogue (the test-table mapping above).
-ROUTE_PRIORITY = "1-URGENT"
 ROUTE_MULTIPLIER = 7919
 EXCLUDED_SEGMENT = "HOUSEHOLD"
 LINK_MULTIPLIER_B = 31
@@ -45,8 +44,12 @@ POINT_THRESHOLD = 0.02
 POINT_CELL = 0.03125
 TREND_MIN_COUNT = 2
 FAR_HOPS = 4
+SECOND_LANDMARK = 1
 RANK_ROUNDS = 10
 RANK_DIGITS = 12
+# A page sends its whole rank from each of its (about ten) lines, so the mass
+# grows tenfold a round and ranks reach ten million: two decimals are nine digits.
+LINE_RANK_DIGITS = 2
 PARTITION_VALUE = "Brand#2"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -211,7 +214,7 @@ def routes_graph(spark, sf_dir) -> G.Graph:
     orders = _t(spark, sf_dir, "orders")
     customer = _t(spark, sf_dir, "customer")
     n_cust = customer.select(F.count(F.lit(1))).scalar()
-    routes = orders.filter(F.col("o_orderpriority") == ROUTE_PRIORITY).select(
+    routes = orders.select(
         F.col("o_custkey").alias("src"),
         (F.col("o_orderkey") * ROUTE_MULTIPLIER % n_cust).alias("dst"),
     )
@@ -222,9 +225,7 @@ def routes_graph(spark, sf_dir) -> G.Graph:
 
 def hub_of(g: G.Graph) -> Column:
     """Vertex with most incident edges, lowest id on ties (scalar query)."""
-    ends = g.edges.select(F.col("src").alias("id")).union(
-        g.edges.select(F.col("dst").alias("id"))
-    )
+    ends = g.edges.select(F.explode(F.array("src", "dst")).alias("id"))
     deg = ends.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
     return deg.select(F.min_by("id", F.struct(-F.col("deg"), F.col("id")))).scalar()
 
@@ -261,6 +262,12 @@ def hops_to_landmarks(spark, sf_dir):
     return G.hops_to_landmarks(g, hub_of(g))
 
 
+def hops_to_two_landmarks(spark, sf_dir):
+    """Hops to the hub and to vertex 1, long form."""
+    g = stored_routes_graph(spark, sf_dir)
+    return G.hops_to_landmarks(g, [hub_of(g), SECOND_LANDMARK])
+
+
 def hops_map(spark, sf_dir):
     g = stored_routes_graph(spark, sf_dir)
     hub = hub_of(g)
@@ -288,9 +295,7 @@ def link_lines(spark, sf_dir) -> DataFrame:
         F.lit(" "), F.col("o_custkey").cast("string"), F.lit("  "), dst_a, F.lit(" "),
         dst_b, F.lit("\t"), dst_a, F.lit(" "),
     )
-    return orders.filter(F.col("o_orderpriority") == ROUTE_PRIORITY).select(
-        F.col("o_orderkey").alias("line_id"), text.alias("value")
-    )
+    return orders.select(F.col("o_orderkey").alias("line_id"), text.alias("value"))
 
 
 def link_lists(spark, sf_dir):
@@ -319,11 +324,11 @@ def pagerank(spark, sf_dir):
 
 
 def pagerank_lines(spark, sf_dir):
-    """Ranks straight from text link lines, one line per urgent order: a
+    """Ranks straight from text link lines, one line per order: a
     customer owning several lines contributes from each of them."""
     links = R.parse_link_lines(link_lines(spark, sf_dir), "value", line_id_col="line_id")
     ranks = R.pagerank(R.link_edges(links), iterations=RANK_ROUNDS, pages=links.select("page"))
-    return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
+    return ranks.select("page", F.round("rank", LINE_RANK_DIGITS).alias("rank"))
 
 
 # ---------------------------------------------------------------- spatial
@@ -401,6 +406,7 @@ QUERIES: dict[str, QueryFn] = {
     "one_way_edges": one_way_edges,
     "one_way_neighbors": one_way_neighbors,
     "hops_to_landmarks": hops_to_landmarks,
+    "hops_to_two_landmarks": hops_to_two_landmarks,
     "hops_map": hops_map,
     "far_from_landmark": far_from_landmark,
     "link_lists": link_lists,

@@ -126,7 +126,7 @@ def test_hops_equal_python_bfs(spark, edges):
     assert got == want
 
 
-@pytest.mark.parametrize("kw", [{"broadcast_rows": 0}, {"broadcast_rows": 0, "skew_factor": 0.0}])
+@pytest.mark.parametrize("kw", [{"broadcast_bytes": 0}, {"broadcast_bytes": 0, "partitions": 3}])
 def test_hops_join_paths_agree(g, kw):
     h = {r.id: r.hops for r in G.hops_to_landmarks(g, "DEN", **kw).collect()}
     assert h == {"DEN": 0, "A": 1, "B": 1, "D": 2, "E": 3, "F": 4}
@@ -137,3 +137,47 @@ def test_landmarks_as_dataframe(spark, g):
     got = {(r.id, r.landmark): r.hops for r in G.hops_to_landmarks(g, lm).collect()}
     assert got[("DEN", "DEN")] == 0 and got[("C", "H")] == 1 and got[("F", "DEN")] == 4
     assert not any(k[1] == "nowhere" for k in got)
+
+
+def test_motif_returns_edge_attributes(spark):
+    e = spark.createDataFrame([("a", "b", 1.0), ("b", "c", 2.0), ("c", "b", 3.0)], "src string, dst string, w double")
+    out = G.find_motif(G.Graph.from_edges(e), [("x", "y", "first"), ("y", "z", "second")], [("y", "x")])
+    assert [(r.x, r.y, r.z, r.first.w, r.second.w) for r in out.collect()] == [("a", "b", "c", 1.0, 2.0)]
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_graph_tables_filter_before_dedup_in_one_pass(spark):
+    routes = spark.range(1000).selectExpr("id % 50 AS s", "id % 70 AS d")
+    allowed = spark.range(60)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = G.edges_within(routes, "s", "d", allowed, "id")
+        plan = edges._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Aggregate") < plan.index("LeftSemi")
+        # Two sides for each join; the dedup finds its rows together.
+        assert _exchanges(edges) == 4
+        assert _exchanges(G.vertices_of(edges)) == 5
+        assert _exchanges(G.graph_counts(G.Graph.from_edges(edges))) == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_counts_of_given_vertices(spark):
+    e = spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long")
+    g = G.Graph(spark.range(10), e)
+    assert tuple(G.graph_counts(g).first()) == (10, 2)
+
+
+def test_hops_around_a_vertex_of_very_high_out_degree(spark):
+    # "hub" reaches every m, each m reaches L: all candidates of one level are
+    # copies of hub.
+    edges = [("hub", f"m{i}") for i in range(2000)] + [(f"m{i}", "L") for i in range(2000)] + [("t", "hub")]
+    g = G.Graph.from_edges(spark.createDataFrame(edges, "src string, dst string"))
+    got = {r.id: r.hops for r in G.hops_to_landmarks(g, "L", broadcast_bytes=0).collect()}
+    assert got["hub"] == 2 and got["t"] == 3 and got["m7"] == 1 and len(got) == 2003
+    # No table of the search is left in the catalog.
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("quarry_hops")]

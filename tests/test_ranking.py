@@ -1,6 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import ranking as R
+from quarry.operators.skew import hot_slices
+
+#: The four-page example whose ranks are known.
+GOLDEN_LINES = ["a b c", "b a a", "c b", "d a"]
 
 
 def _ranks(spark, lines, **kw):
@@ -10,7 +15,7 @@ def _ranks(spark, lines, **kw):
 
 
 def test_golden_four_pages(spark):
-    got = _ranks(spark, ["a b c", "b a a", "c b", "d a"], iterations=10)
+    got = _ranks(spark, GOLDEN_LINES, iterations=10)
     assert set(got) == {"a", "b", "c"}
     assert got["a"] == pytest.approx(0.3984375, abs=1e-12)
     assert got["b"] == pytest.approx(0.3984375, abs=1e-12)
@@ -40,7 +45,32 @@ def test_damped_variant_optional(spark):
     assert got["a"] == pytest.approx(0.5) and got["b"] == pytest.approx(0.5)
 
 
-@pytest.mark.parametrize("skew_factor", [4.0, 0.0])
-def test_partitioning_paths_agree(spark, skew_factor):
-    got = _ranks(spark, ["a b c", "b a a", "c b", "d a"], iterations=10, skew_factor=skew_factor)
-    assert got["a"] == pytest.approx(0.3984375, abs=1e-12) and got["c"] == pytest.approx(0.203125, abs=1e-12)
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_partition_counts_agree(spark, partitions):
+    got = _ranks(spark, GOLDEN_LINES, iterations=10, partitions=partitions)
+    want = _ranks(spark, GOLDEN_LINES, iterations=10)
+    assert got == pytest.approx(want, rel=1e-12)
+
+
+def test_a_hot_pages_edges_are_spread(spark):
+    """A page with a third of the edges fills no partition of its own."""
+    n, parts = 6000, 8
+    hot = spark.range(n // 3).selectExpr("'hot' AS page", "concat('t', id) AS target")
+    rest = spark.range(n - n // 3).selectExpr("concat('p', id % 500) AS page", "concat('t', id) AS target")
+    edges = hot.union(rest)
+    placed = R.partitioned_edges(edges, hot_slices(edges, "page", parts), parts)
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2.5 * n / parts
+    # and so do its edges in a plain partitioning not
+    plain = [r["count"] for r in edges.repartition(parts, "page").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(plain) >= n / 3
+    ranks = R.pagerank(edges, iterations=1, partitions=parts)
+    assert ranks.agg(F.sum("rank")).first()[0] == pytest.approx(1.0)
+
+
+def test_graph_edges_divide_in_the_page_table(spark):
+    edges = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "a"), ("a", "b")], "src string, dst string")
+    links = R.edges_as_links(edges)
+    assert links.columns == ["page", "target"]
+    got = {(r.page, r.target): r.contrib for r in R.contributions(links, R.initial_ranks(links)).collect()}
+    assert got == {("a", "b"): 0.25, ("a", "c"): 0.25, ("b", "a"): 0.5}
