@@ -20,12 +20,3 @@ def euclidean(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     dx = x1 - x2
     dy = y1 - y2
     return F.sqrt(dx * dx + dy * dy)
-
-
-def pair_key_lo(a: Column, b: Column) -> Column:
-    """Smaller of two ids in their own order (string ids: string order)."""
-    return F.least(a, b)
-
-
-def pair_key_hi(a: Column, b: Column) -> Column:
-    return F.greatest(a, b)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     Bucketizer,
     OneHotEncoder,
@@ -86,28 +86,47 @@ def vector_text(vec: Column | str) -> Column:
     return F.array_join(F.transform(arr, lambda x: x.cast("int").cast("string")), ",")
 
 
-def encoding_stages(
-    cat_cols: Sequence[str],
-    num_cols: Sequence[str],
-    features_col: str = "features",
+@dataclass(frozen=True)
+class Columns:
+    """How the columns of a table enter a feature vector, in this order:
+    bucketed (column -> splits), indexed and one-hot categories, numbers as
+    they are, and numbers divided by their standard deviation."""
+
+    bucketed: Mapping[str, Sequence[float]] = field(default_factory=dict)
+    indexed: Sequence[str] = ()
+    one_hot: Sequence[str] = ()
+    plain: Sequence[str] = ()
+    scaled: Sequence[str] = ()
+
+
+def feature_stages(
+    columns: Columns, output: str = "features", keep_unseen: bool = False, prefix: str = "_f"
 ) -> list:
-    """Stages turning categorical columns into one-hot vectors (unseen
-    labels kept), scaling the numeric ones, and assembling everything."""
-    stages: list = []
-    for c in cat_cols:
-        idx = StringIndexer(inputCol=c, outputCol=c + "idx", handleInvalid="keep")
-        enc = OneHotEncoder(inputCols=[c + "idx"], outputCols=[c + "classVec"])
-        stages += [idx, enc]
-    stages += [
-        VectorAssembler(inputCols=list(num_cols), outputCol="numFeatures"),
-        StandardScaler(inputCol="numFeatures", outputCol="scaledNumFeatures"),
-        VectorAssembler(
-            inputCols=[c + "classVec" for c in cat_cols] + ["scaledNumFeatures"],
-            outputCol=features_col,
-        ),
-    ]
-    return stages
-
-
-def with_encoding(cat_cols, num_cols, estimator, features_col: str = "features") -> Pipeline:
-    return Pipeline(stages=encoding_stages(cat_cols, num_cols, features_col) + [estimator])
+    """Pipeline stages from ``columns`` to the vector ``output``. Every kind of
+    encoding is one multi-column stage, so all categories are counted by one
+    job. Intermediate columns are named ``<prefix>_<kind>_<column>``."""
+    name = lambda kind, cols: [f"{prefix}_{kind}_{c}" for c in cols]
+    stages, parts = [], []
+
+    def add(stage, made: list[str], used: bool = True) -> None:
+        stages.append(stage)
+        parts.extend(made if used else [])
+
+    if columns.bucketed:
+        made = name("bucket", columns.bucketed)
+        splits = [list(v) for v in columns.bucketed.values()]
+        add(Bucketizer(splitsArray=splits, inputCols=list(columns.bucketed), outputCols=made), made)
+    categories = [*columns.indexed, *columns.one_hot]
+    if categories:
+        made = name("index", categories)
+        handle = "keep" if keep_unseen else "error"
+        add(StringIndexer(inputCols=categories, outputCols=made, handleInvalid=handle), made[: len(columns.indexed)])
+        if columns.one_hot:
+            vectors = name("onehot", columns.one_hot)
+            add(OneHotEncoder(inputCols=made[len(columns.indexed) :], outputCols=vectors), vectors)
+    parts.extend(columns.plain)
+    if columns.scaled:
+        numbers, made = f"{prefix}_numbers", [f"{prefix}_scaled"]
+        add(VectorAssembler(inputCols=list(columns.scaled), outputCol=numbers), [], used=False)
+        add(StandardScaler(inputCol=numbers, outputCol=made[0]), made)
+    return [*stages, VectorAssembler(inputCols=parts, outputCol=output)]

@@ -6,7 +6,9 @@
   i.e. the evaluator's value without down-sampling.
 
 Both first aggregate by key with map-side partial sums, so a class or a
-score holding a large share of the rows costs one partial row per task.
+score holding a large share of the rows costs one partial row per task. A
+null label, prediction or score raises an error: it is neither a class nor a
+negative.
 """
 
 from __future__ import annotations
@@ -23,6 +25,12 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _known(x: Column | str, what: str) -> Column:
+    """The value as a double; null raises."""
+    missing = F.raise_error(F.lit(f"null {what}: drop or fill such rows before computing metrics"))
+    return F.coalesce(_c(x).cast("double"), missing.cast("double"))
+
+
 def confusion(
     df: DataFrame,
     label: Column | str,
@@ -32,8 +40,8 @@ def confusion(
     """``(by..., label, prediction, n)``: bounded by groups x classes^2."""
     return df.groupBy(
         *by,
-        _c(label).cast("double").alias("label"),
-        _c(prediction).cast("double").alias("prediction"),
+        _known(label, "label").alias("label"),
+        _known(prediction, "prediction").alias("prediction"),
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -51,20 +59,26 @@ def class_metrics(
     precision 0; F1 is 0 when precision + recall is 0.
     """
     keys = list(by)
-    cm = confusion(df, label, prediction, keys)
-    by_label = cm.groupBy(*keys, F.col("label").alias("c")).agg(
-        F.sum("n").alias("n_c"),
-        F.coalesce(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n"))), F.lit(0)).alias(
-            "tp"
-        ),
+    # One pass: every confusion row counts for its label's class and for its
+    # prediction's class.
+    role = lambda c, n_c, tp, n_p: F.struct(
+        F.col(c).alias("c"), n_c.alias("n_c"), tp.alias("tp"), n_p.alias("n_p")
     )
-    by_pred = cm.groupBy(*keys, F.col("prediction").alias("c")).agg(F.sum("n").alias("n_p"))
-    per = by_label.join(by_pred, keys + ["c"], "left").select(
-        *keys,
-        "n_c",
-        "tp",
-        F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_p")), F.lit(0.0)).alias("prec"),
-        F.try_divide(F.col("tp").cast("double"), F.col("n_c")).alias("rec"),
+    none, n = F.lit(0).cast("long"), F.col("n")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+    roles = F.array(role("label", n, hit, none), role("prediction", none, none, n))
+    per = (
+        confusion(df, label, prediction, keys).select(*keys, F.explode(roles).alias("r"))
+        .groupBy(*keys, F.col("r.c").alias("c"))
+        .agg(F.sum("r.n_c").alias("n_c"), F.sum("r.tp").alias("tp"), F.sum("r.n_p").alias("n_p"))
+        .filter(F.col("n_c") > 0)
+        .select(
+            *keys,
+            "n_c",
+            "tp",
+            F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_p")), F.lit(0.0)).alias("prec"),
+            F.try_divide(F.col("tp").cast("double"), F.col("n_c")).alias("rec"),
+        )
     )
     f1 = F.when(
         F.col("prec") + F.col("rec") > 0,
@@ -103,8 +117,8 @@ def binary_auc(
     each partition finishes the sum.
     """
     spark = df.sparkSession
-    pos = F.when(_c(label) > 0.5, 1).otherwise(0)
-    g = df.groupBy(_c(score).cast("double").alias("score")).agg(
+    pos = F.when(_known(label, "label") > 0.5, 1).otherwise(0)
+    g = df.groupBy(_known(score, "score").alias("score")).agg(
         F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg")
     )
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -6,82 +6,85 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Bucketizer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 
-from quarry.ml.features import with_encoding
+from quarry.ml.features import Columns, feature_stages
 
 
-def make_logistic(
-    bucket_col: str,
-    splits: Sequence[float],
-    category_col: str,
-    numeric_col: str,
-    label_col: str,
-    features_col: str = "features",
-    label_index_col: str = "known_label",
+def logistic_pipeline(
+    columns: Columns,
+    label: str,
+    label_index: str = "known_label",
+    features: str = "features",
+    max_iter: int = 100,
+    tol: float = 1e-6,
 ) -> Pipeline:
-    """Bucketize one numeric column, index a category and the label,
-    assemble ``(bucket, category index, numeric)`` and fit a logistic
-    regression with MLlib defaults."""
-    return Pipeline(
-        stages=[
-            Bucketizer(splits=list(splits), inputCol=bucket_col, outputCol=bucket_col + "_bucket"),
-            StringIndexer(inputCol=category_col, outputCol=category_col + "_num"),
-            StringIndexer(inputCol=label_col, outputCol=label_index_col),
-            VectorAssembler(
-                inputCols=[bucket_col + "_bucket", category_col + "_num", numeric_col],
-                outputCol=features_col,
-            ),
-            LogisticRegression(featuresCol=features_col, labelCol=label_index_col),
-        ]
-    )
+    """Features from ``columns``, the string ``label`` as an index, and a
+    logistic regression without penalty."""
+    return Pipeline(stages=[
+        *feature_stages(columns, features),
+        StringIndexer(inputCol=label, outputCol=label_index),
+        LogisticRegression(featuresCol=features, labelCol=label_index, maxIter=max_iter, tol=tol),
+    ])
 
 
-def make_forest(
-    cat_cols: Sequence[str],
-    num_cols: Sequence[str],
-    label_col: str,
+def forest_pipeline(
+    columns: Columns,
+    label: str,
+    features: str = "features",
     num_trees: int = 100,
     max_depth: int = 10,
     seed: int = 4,
     max_memory_mb: int = 1024,
 ) -> Pipeline:
-    """One-hot categories (unseen kept), scaled numerics, random forest.
+    """Features from ``columns`` (unseen categories kept) and a random forest.
 
     The seed is fixed so the trees do not depend on the Python process.
     ``max_memory_mb`` lets one pass over the data split more tree nodes at
     once (fewer passes); node ids are cached between levels so the trees
     are not re-shipped to the executors every pass.
     """
-    rf = RandomForestClassifier(
-        labelCol=label_col,
-        featuresCol="features",
+    forest = RandomForestClassifier(
+        labelCol=label,
+        featuresCol=features,
         numTrees=num_trees,
         maxDepth=max_depth,
         seed=seed,
         maxMemoryInMB=max_memory_mb,
         cacheNodeIds=True,
     )
-    return with_encoding(cat_cols, num_cols, rf)
+    return Pipeline(stages=[*feature_stages(columns, features, keep_unseen=True), forest])
+
+
+def spread(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """``df`` in at least ``partitions`` partitions. One with fewer is dealt by
+    a hash of ``keys`` and sorted within, so the rows of a partition and their
+    order do not depend on cores or files; one with as many is left alone."""
+    if df.rdd.getNumPartitions() >= partitions:
+        return df
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def fit(
-    pipeline: Pipeline, train: DataFrame, min_partitions: int | None = None
+    pipeline: Pipeline,
+    train: DataFrame,
+    keys: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit ``pipeline`` on ``train``.
 
-    ``min_partitions`` spreads the input (round-robin, cached for the
-    learner's passes) before fitting: worth it for learners that do heavy
-    per-row work each pass (trees) on inputs that arrive as one or two
-    partitions; not for LBFGS-style learners, whose many small passes are
-    dominated by per-job overhead. Large inputs already have many
-    partitions and need neither.
+    With ``keys`` and ``partitions`` an input that arrives in fewer partitions
+    is spread first (:func:`spread`) and cached for the learner's passes:
+    worth it for learners that do heavy per-row work each pass, such as
+    trees, whose samples are drawn per partition. The partition count is a
+    parameter of its own, not the cluster's core count, so the same input
+    gives the same trees anywhere. An input of more partitions is not changed.
     """
-    if not min_partitions:
+    if not partitions:
         return pipeline.fit(train)
-    spread = train.repartition(min_partitions).persist()
+    held = spread(train, keys, partitions).persist()
     try:
-        return pipeline.fit(spread)
+        return pipeline.fit(held)
     finally:
-        spread.unpersist()
+        held.unpersist()

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 
 def split_bucket(keys: Sequence[str], seed: int, buckets: int = 10000) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(buckets))
+    """A bucket from the first eight hex digits of an md5 over the keys and the
+    seed, which other engines can compute as well. A null key counts as ''."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
 
 
 def hash_split(
@@ -42,12 +45,3 @@ def label_split(
     cut = int(round(train_fraction * buckets))
     b = split_bucket(keys, seed, buckets)
     return df.withColumn(alias, F.when(b < cut, "train").otherwise("test"))
-
-
-def random_split(
-    df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 4
-) -> list[DataFrame]:
-    """Spark's ``randomSplit`` (per-partition sampling). Reproducible only
-    for the same partitioning and row order of the input; prefer
-    :func:`hash_split` when the split must be stable."""
-    return df.randomSplit(list(weights), seed=seed)

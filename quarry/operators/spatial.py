@@ -4,17 +4,22 @@
 goes to cell ``(floor(x/c), floor(y/c))`` and is copied to its own cell and
 the four forward cells ``(0,+1) (+1,+1) (+1,0) (+1,-1)``.
 
+Coordinates must be finite: a NaN or infinite one raises an error that names
+the column (null coordinates are left out by ``close_pairs``).
+
 ``close_pairs`` returns every unordered pair of input rows lying within
 ``threshold`` (inclusive) as ``(id_a, id_b)`` with ``id_a <= id_b`` in the
 ids' own order, once. Two rows with the same id within the threshold give
 ``(p, p)``. It runs as one equi join on a *fine* grid of side
-``threshold / 2`` (a hair larger, for rounding):
+``threshold / 2`` (a hair larger: the rounding of a cell index stays below
+that margin for coordinates up to about 1e9 thresholds). Every candidate is
+checked by distance:
 
-* two points in the same fine cell are always within the threshold (the
-  cell diagonal is ~0.71 x threshold), so same-cell pairs are all results;
+* two points in the same fine cell are within the threshold (the cell
+  diagonal is ~0.71 x threshold), so same-cell candidates are results;
 * a pair within the threshold lies in cells at most two apart per axis, so
   each point is also copied to the 12 cells of a half-neighbourhood
-  (every unordered cell pair once) and checked by distance.
+  (every unordered cell pair once).
 
 Cross-cell candidates between cells A and B number ``|A||B| <=
 (|A|^2 + |B|^2)/2``, i.e. they are bounded by the same-cell results, so the
@@ -36,6 +41,13 @@ from quarry.functions.geometry import cell_index, euclidean
 FORWARD_OFFSETS = [(0, 1), (1, 1), (1, 0), (1, -1)]
 
 
+def finite(column: str):
+    """The column as a double; NaN and infinity raise."""
+    c = F.col(column).cast("double")
+    bad = F.isnan(c) | (F.abs(c) == float("inf"))
+    return F.when(bad, F.raise_error(F.lit(f"column {column}: coordinates must be finite")).cast("double")).otherwise(c)
+
+
 def grid_cells(
     points: DataFrame,
     cell_size: float,
@@ -47,8 +59,8 @@ def grid_cells(
     if cell_size <= 0:
         raise ValueError("cell_size must be positive")
     return points.select(
-        cell_index(F.col(x_col), cell_size).alias("cx"),
-        cell_index(F.col(y_col), cell_size).alias("cy"),
+        cell_index(finite(x_col), cell_size).alias("cx"),
+        cell_index(finite(y_col), cell_size).alias("cy"),
         F.col(id_col).alias("id"),
         F.col(x_col).alias("x"),
         F.col(y_col).alias("y"),
@@ -96,9 +108,9 @@ def close_pairs(
     """Distinct ``(id_a, id_b)`` of row pairs within ``threshold``."""
     if threshold <= 0:
         raise ValueError("threshold must be positive")
-    side = threshold / 2.0 * (1.0 + 1e-9)
+    side = threshold / 2.0 * (1.0 + 1e-6)
     pts = points.select(
-        F.col(id_col).alias("id"), F.col(x_col).alias("x"), F.col(y_col).alias("y")
+        F.col(id_col).alias("id"), finite(x_col).alias("x"), finite(y_col).alias("y")
     ).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     # Identical rows collapse to one point with a multiplicity; a point
     # present more than once pairs with itself.
@@ -138,7 +150,7 @@ def close_pairs(
         float(threshold)
     )
     pairs = home.join(moved, ["cx", "cy"]).filter(
-        F.when(F.col("same"), same_cell_order).otherwise(within)
+        within & F.when(F.col("same"), same_cell_order).otherwise(F.lit(True))
     )
     found = pairs.select(
         F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b")

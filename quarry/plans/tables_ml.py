@@ -14,6 +14,11 @@ Mappings of the reference's inputs onto the driver tables:
 * logistic model: customers, bucketed balance + segment index + nation,
   label "rich" / "other"; forest: orders with customer attributes, label =
   priority digit; both trained on a 70 % hash split of the key.
+
+A key fits its own model: no result depends on what ran before. What SQL can
+say of a fitted model has keys of its own: ``logistic_score_equations`` (at
+the maximum the predicted sums equal the observed ones, feature by feature)
+and ``forest_label_totals`` (the confusion counts add up to the labels).
 """
 
 from __future__ import annotations
@@ -25,7 +30,6 @@ from quarry.ml import features as FE
 from quarry.ml import metrics as M
 from quarry.ml import models as MO
 from quarry.ml.split import hash_split, label_split
-from quarry.session import app_id, default_parallelism
 from quarry.sources.parquet import read_table
 
 # Fixed parameters of the catalogue.
@@ -37,6 +41,8 @@ METRIC_DIGITS = 9
 SCALE_DIGITS = 6
 KEEP_FIT_MAX_SIZE = 2
 RICH_BALANCE = 4000.0
+FOREST_PARTITIONS = 32  # of the training rows at least; the trees' samples are drawn per partition
+SCORE_DIGITS = 2  # the observed sums are whole numbers
 
 
 def _t(spark, sf_dir, name) -> DataFrame:
@@ -113,26 +119,20 @@ def customer_frame(spark, sf_dir) -> DataFrame:
     )
 
 
-# Fitted models, reused within one application: a model and its metrics
-# come from the same fit, as in a notebook that fits once.
-_FITTED: dict = {}
+LOGISTIC_COLUMNS = FE.Columns(
+    bucketed={"c_acctbal": BALANCE_SPLITS}, indexed=["c_mktsegment"], plain=["c_nationkey"]
+)
 
 
-def _fitted_logistic(spark, sf_dir):
-    key = (app_id(spark), sf_dir, "logistic")
-    if key not in _FITTED:
-        train, _ = hash_split(customer_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
-        pipe = MO.make_logistic(
-            "c_acctbal", BALANCE_SPLITS, "c_mktsegment", "c_nationkey", "tier"
-        )
-        _FITTED[key] = MO.fit(pipe, train)
-    return _FITTED[key]
+def fit_logistic(spark, sf_dir, **options):
+    train, _ = hash_split(customer_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
+    return MO.fit(MO.logistic_pipeline(LOGISTIC_COLUMNS, "tier", **options), train)
 
 
 def logistic_model(spark, sf_dir):
     """Test-split predictions: id, probability of class 1, prediction."""
     _, test = hash_split(customer_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
-    preds = _fitted_logistic(spark, sf_dir).transform(test)
+    preds = fit_logistic(spark, sf_dir).transform(test)
     return preds.select(
         "id", F.get(FE.vector_to_array("probability"), 1).alias("p_1"), "prediction"
     )
@@ -142,7 +142,7 @@ def logistic_metrics(spark, sf_dir):
     """Area under ROC (score = probability of class 1, a monotone map of
     the raw margin) and accuracy, on the training split."""
     train, _ = hash_split(customer_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
-    preds = _fitted_logistic(spark, sf_dir).transform(train).select(
+    preds = fit_logistic(spark, sf_dir).transform(train).select(
         "known_label",
         "prediction",
         F.get(FE.vector_to_array("probability"), 1).alias("score"),
@@ -154,6 +154,23 @@ def logistic_metrics(spark, sf_dir):
     )
 
 
+def logistic_score_equations(spark, sf_dir):
+    """(feature, predicted): over the training split the sum of each feature
+    times the probability of class 1. At the likelihood's maximum it is the
+    sum of the feature over the rows of class 1."""
+    train, _ = hash_split(customer_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
+    model = fit_logistic(spark, sf_dir, max_iter=1000, tol=1e-14)
+    p = F.get(FE.vector_to_array("probability"), 1)
+    x = FE.vector_to_array("features")
+    sums = [F.sum(p).alias("intercept")] + [
+        F.sum(p * F.get(x, i)).alias(name) for i, name in enumerate(("balance", "segment", "nation"))
+    ]
+    wide = model.transform(train).agg(*sums)
+    return wide.unpivot([], wide.columns, "feature", "predicted").select(
+        "feature", F.round("predicted", SCORE_DIGITS).alias("predicted")
+    )
+
+
 def retail_frame(spark, sf_dir) -> DataFrame:
     """Orders with customer attributes; label = priority digit (1..5)."""
     o = _t(spark, sf_dir, "orders")
@@ -173,36 +190,42 @@ FOREST_CATS = ["o_orderstatus", "c_mktsegment"]
 FOREST_NUMS = ["o_totalprice", "c_acctbal"]
 
 
-def _fitted_forest(spark, sf_dir):
-    """The forest fitted on the training split, reused within one
-    application (the model and its metrics come from the same fit)."""
-    key = (app_id(spark), sf_dir, "forest")
-    if key not in _FITTED:
-        data = retail_frame(spark, sf_dir)
-        train, _ = hash_split(data, ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
-        _FITTED[key] = MO.fit(
-            MO.make_forest(FOREST_CATS, FOREST_NUMS, "rating"),
-            train,
-            min_partitions=default_parallelism(spark),
-        )
-    return _FITTED[key]
+FOREST_COLUMNS = FE.Columns(one_hot=FOREST_CATS, scaled=FOREST_NUMS)
+
+
+def fit_forest(spark, sf_dir):
+    data = retail_frame(spark, sf_dir)
+    train, _ = hash_split(data, ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
+    pipeline = MO.forest_pipeline(FOREST_COLUMNS, "rating")
+    return MO.fit(pipeline, train, keys=["o_orderkey"], partitions=FOREST_PARTITIONS)
 
 
 def forest_model(spark, sf_dir):
-    model = _fitted_forest(spark, sf_dir)
+    model = fit_forest(spark, sf_dir)
     _, test = hash_split(retail_frame(spark, sf_dir), ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
     return model.transform(test).select("o_orderkey", "rating", "prediction")
 
 
+def _forest_predictions(spark, sf_dir) -> DataFrame:
+    data = label_split(retail_frame(spark, sf_dir), ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
+    return fit_forest(spark, sf_dir).transform(data)
+
+
 def forest_metrics(spark, sf_dir):
     """The four weighted metrics on the training split and on the test
     split, one row each, from a single pass of the model over the data."""
-    model = _fitted_forest(spark, sf_dir)
-    data = label_split(retail_frame(spark, sf_dir), ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
-    preds = model.transform(data)
+    preds = _forest_predictions(spark, sf_dir)
     return M.class_metrics(preds, "rating", "prediction", digits=METRIC_DIGITS, by=["split"])
 
 
+def forest_label_totals(spark, sf_dir):
+    """(split, rating, n, n_known): per split and label the sum of the
+    confusion counts, and of those whose prediction is one of the labels."""
+    cm = M.confusion(_forest_predictions(spark, sf_dir), "rating", "prediction", by=["split"])
+    known = F.sum(F.when(F.col("prediction").isin(1.0, 2.0, 3.0, 4.0, 5.0), F.col("n")).otherwise(0))
+    return cm.groupBy("split", F.col("label").alias("rating")).agg(F.sum("n").alias("n"), known.alias("n_known"))
+
+
 QUERIES = {
     "bucketize": bucketize,
     "string_index": string_index,
@@ -215,8 +238,10 @@ QUERIES = {
     "train_test_split": train_test_split,
     "logistic_model": logistic_model,
     "logistic_metrics": logistic_metrics,
+    "logistic_score_equations": logistic_score_equations,
     "forest_model": forest_model,
     "forest_metrics": forest_metrics,
+    "forest_label_totals": forest_label_totals,
 }
 
 _CM = """
@@ -242,7 +267,39 @@ SELECT ROUND(SUM(tp) / SUM(n_c), 9) AS accuracy,
 FROM f
 """
 
+
+def _sql_bucket(key: str) -> str:
+    return f"('0x' || SUBSTR(MD5({key}::VARCHAR || '|4'), 1, 8))::BIGINT % 10000"
+
+
+_TIERS = f"""
+t AS (
+  SELECT *, CASE WHEN c_acctbal > 4000 THEN 'rich' ELSE 'other' END AS tier,
+         CASE WHEN c_acctbal < 0 THEN 0 WHEN c_acctbal < 2500 THEN 1 WHEN c_acctbal < 5000 THEN 2
+              WHEN c_acctbal < 7500 THEN 3 ELSE 4 END AS bucket
+  FROM customer WHERE {_sql_bucket("c_custkey")} < 7000),
+seg AS (SELECT c_mktsegment, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, c_mktsegment) - 1 AS i FROM t GROUP BY 1),
+lab AS (SELECT tier, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, tier) - 1 AS y FROM t GROUP BY 1)
+"""
 ORACLE_SQL = {
+    "train_test_split": (
+        f"SELECT o_orderkey, o_custkey, CASE WHEN {_sql_bucket('o_orderkey')} < 7000 "
+        "THEN 'train' ELSE 'test' END AS split FROM orders"
+    ),
+    "logistic_score_equations": (
+        f"WITH {_TIERS}, x AS (SELECT t.*, i, y FROM t JOIN seg USING (c_mktsegment) JOIN lab USING (tier)) "
+        "SELECT 'intercept' AS feature, SUM(y)::DOUBLE AS predicted FROM x "
+        "UNION ALL SELECT 'balance', SUM(y * bucket)::DOUBLE FROM x "
+        "UNION ALL SELECT 'segment', SUM(y * i)::DOUBLE FROM x "
+        "UNION ALL SELECT 'nation', SUM(y * c_nationkey)::DOUBLE FROM x"
+    ),
+    "forest_label_totals": (
+        f"SELECT CASE WHEN {_sql_bucket('o_orderkey')} < 7000 THEN 'train' ELSE 'test' END AS split, "
+        "SUBSTR(o_orderpriority, 1, 1)::DOUBLE AS rating, COUNT(*) AS n, COUNT(*) AS n_known "
+        "FROM orders JOIN customer ON o_custkey = c_custkey "
+        "WHERE o_orderkey IS NOT NULL AND o_orderstatus IS NOT NULL AND c_mktsegment IS NOT NULL "
+        "AND o_totalprice IS NOT NULL AND c_acctbal IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL"
+    ),
     "bucketize": (
         "SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, CAST(CASE WHEN p_size < 10 THEN 0 "
         "WHEN p_size < 20 THEN 1 WHEN p_size < 30 THEN 2 WHEN p_size < 40 THEN 3 ELSE 4 END "

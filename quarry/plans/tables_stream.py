@@ -8,20 +8,20 @@ sink read back as a batch DataFrame.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.ml.split import hash_split
-from quarry.ml import models as MO
 from quarry.operators.trends import flatten_window
 from quarry.plans.tables import TREND_MIN_COUNT, tagged_events
-from quarry.plans.tables_ml import BALANCE_SPLITS, SPLIT_SEED, TRAIN_FRACTION, customer_frame
+from quarry.plans.tables_ml import SPLIT_SEED, TRAIN_FRACTION, fit_forest, retail_frame
 from quarry.session import scratch_path
 from quarry.sources.parquet import read_table
 from quarry.sources.sinks import write_n_files, write_partitioned
 from quarry.streaming.scoring import metrics_per_batch
-from quarry.streaming.sinks import read_sink, run_available
+from quarry.streaming.sinks import read_sink, result_table, run_available, start_append
 from quarry.streaming.sources import csv_stream, parquet_stream
 from quarry.streaming.trends import trending_tags_stream
 
@@ -60,12 +60,16 @@ def stream_trending_tags(spark, sf_dir):
     )
     out = scratch_path(spark, "trending-tags")
     run_available(trend, "complete", sink_path=out)
-    view = f"trending_tags_{abs(hash(out)) % 10**8}"
-    flatten_window(read_sink(spark, out)).createOrReplaceTempView(view)
-    return spark.sql(
-        f"SELECT window_start, window_end, tag, tag_count FROM {view} "
-        "ORDER BY window_start, tag_count DESC, tag"
-    )
+    table = f"trending_tags_{uuid.uuid4().hex}"
+    flat = flatten_window(result_table(spark, table, out))
+    try:
+        return spark.sql(
+            "SELECT window_start, window_end, tag, tag_count FROM {flat} "
+            "ORDER BY window_start, tag_count DESC, tag",
+            flat=flat,
+        )
+    finally:
+        spark.sql(f"DROP TABLE {table}")  # the result's files stay
 
 
 def staged_events(spark, sf_dir) -> DataFrame:
@@ -80,51 +84,49 @@ def staged_events(spark, sf_dir) -> DataFrame:
 
 
 def stream_late_data(spark, sf_dir):
-    """Append-mode trend counts over a stream replayed block by block.
+    """Append-mode trend counts over a stream whose blocks arrive in order.
 
-    The events are staged once, partitioned by arrival block (one scan of
-    the table). Each block is then copied into the source directory with a
-    partition-pruned read and processed by restarting the query from its
-    checkpoint, so the watermark carried between blocks drops the late rows.
+    The events are staged once, partitioned by arrival block (one scan of the
+    table). One query runs over the source directory; each block is put there
+    with a partition-pruned read once the block before it has been processed,
+    so the watermark that moved between blocks drops the late rows.
     """
     staged = staged_events(spark, sf_dir)
     schema = staged.drop("arrival").schema
     stage_dir = scratch_path(spark, "late-stage")
     write_partitioned(staged, stage_dir, ["arrival"])
     stage = spark.read.schema(staged.schema).parquet(stage_dir)
-    blocks = [r[0] for r in stage.select("arrival").distinct().orderBy("arrival").collect()]
+    first, last = stage.agg(F.min("arrival"), F.max("arrival")).first()
     src_dir = scratch_path(spark, "late-src")
-    ckpt = scratch_path(spark, "late-ckpt")
     out = scratch_path(spark, "late-out")
-    for b in blocks:
-        stage.filter(F.col("arrival") == b).drop("arrival").write.mode("append").parquet(src_dir)
-        src = parquet_stream(spark, src_dir, schema)
-        trend = trending_tags_stream(
-            _tag_stream(src), "ts", "tag", 0, WINDOW, SLIDE, WATERMARK, "tag_count"
-        )
-        run_available(trend, "append", sink_path=out, checkpoint=ckpt)
-    res = flatten_window(read_sink(spark, out))
+    stage.limit(0).drop("arrival").write.parquet(src_dir)
+    trend = trending_tags_stream(
+        _tag_stream(parquet_stream(spark, src_dir, schema)), "ts", "tag", 0, WINDOW, SLIDE, WATERMARK, "tag_count"
+    )
+    query = start_append(trend, out)
+    try:
+        for block in range(first, last + 1) if first is not None else ():
+            stage.filter(F.col("arrival") == block).drop("arrival").write.mode("append").parquet(src_dir)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    res = flatten_window(read_sink(spark, out, trend.schema))
     return res.select("window_start", "window_end", "tag", "tag_count")
 
 
 def stream_batch_metrics(spark, sf_dir):
-    """Fit the logistic model on the training split, stage the test split
-    as 20 Parquet files, stream them five files per batch and store the
-    four metrics of every batch."""
-    data = customer_frame(spark, sf_dir)
-    train, test = hash_split(data, ["id"], TRAIN_FRACTION, SPLIT_SEED)
-    model = MO.fit(
-        MO.make_logistic("c_acctbal", BALANCE_SPLITS, "c_mktsegment", "c_nationkey", "tier"),
-        train,
-    )
+    """Fit the forest on the training split, stage the test split as 20
+    Parquet files by a hash of the key, stream them five files per batch and
+    store the four metrics of every batch."""
+    data = retail_frame(spark, sf_dir)
+    _, test = hash_split(data, ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
+    model = fit_forest(spark, sf_dir)
     src_dir = scratch_path(spark, "score-src")
-    write_n_files(test, src_dir, n_files=STREAM_FILES, fmt="parquet")
+    write_n_files(test, src_dir, n_files=STREAM_FILES, fmt="parquet", keys=["o_orderkey"])
     stream = parquet_stream(spark, src_dir, data.schema, max_files_per_trigger=FILES_PER_TRIGGER)
     out = scratch_path(spark, "score-metrics")
     run_available(
-        stream,
-        "append",
-        foreach_batch=metrics_per_batch(model, out, "known_label", digits=METRIC_DIGITS),
+        stream, "append", foreach_batch=metrics_per_batch(model, out, "rating", digits=METRIC_DIGITS)
     )
     schema = (
         "accuracy double, weighted_precision double, weighted_recall double, "

@@ -2,15 +2,19 @@
 
 Everything that writes intermediate data (iterative loops, round trips,
 stream sinks) goes under the checkpoint directory the cluster names in
-``spark.checkpoint.dir``. A private directory is only created when that
-setting is missing *and* the session runs in local mode (tests).
+``spark.checkpoint.dir``. Only where that setting is missing *and* the session
+runs in local mode is a private directory made, with a warning, and removed at
+exit. Intermediate data lies in one folder per application, which
+:func:`clear_scratch` deletes once its results are no longer needed.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,51 +65,54 @@ def _is_local(spark: SparkSession) -> bool:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared directory for checkpoints and intermediate tables.
 
-    Order: ``spark.checkpoint.dir`` from the session conf; else the one
-    already on the context; else (local mode only) a fresh private folder.
-    On a cluster without the setting this raises instead of silently using
-    a machine-local path that executors cannot share.
+    Order: the session's ``spark.checkpoint.dir``; else the directory already
+    on the context; else (local mode only) a fresh private folder. On a
+    cluster without the setting this raises instead of using a machine-local
+    path that executors cannot share.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no context on the client
-        sc = None
-    if sc is None:
-        if not configured:
-            raise RuntimeError("spark.checkpoint.dir is not set")
+    if configured:
         return configured
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not _is_local(spark):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at shared storage "
-                "(HDFS/S3/ABFS) before running iterative or streaming operators"
-            )
-        configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    """Cores available to tasks (shuffle partitions as a fallback)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if not _is_local(spark):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; point it at shared storage "
+            "(HDFS/S3/ABFS) before running iterative or streaming operators"
+        )
+    private = tempfile.mkdtemp(prefix="quarry-ckpt-")
+    atexit.register(shutil.rmtree, private, ignore_errors=True)
+    warnings.warn(f"spark.checkpoint.dir is not set: using {private} until exit", stacklevel=2)
+    sc.setCheckpointDir(private)
+    return sc.getCheckpointDir() or private
 
 
 def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-scratch/{app_id(spark)}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path in the application's folder under the shared
+    checkpoint directory."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark knows."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. DataFrames that operators
+    returned read from them, so call it when those are no longer needed."""
+    delete_path(spark, _scratch_root(spark))
 
 
 def cut_lineage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -117,12 +124,3 @@ def cut_lineage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so a path can be used by local tooling."""
-    return path[len("file:") :] if path.startswith("file:") else path
-
-
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")

@@ -45,7 +45,8 @@ def strict_csv_lines(
     """Parse text lines against ``schema`` keeping only well-formed records.
 
     A line is kept when every field parses to its type and the field count
-    equals the schema width. Works on batch and streaming DataFrames alike.
+    equals the schema width; blank lines are no records and are skipped, as
+    the CSV reader does. Works on batch and streaming DataFrames alike.
     ``header_line`` (literal or Column) removes every line equal to it.
     """
     struct = _as_struct(schema)
@@ -55,7 +56,7 @@ def strict_csv_lines(
     if header_line is not None:
         hdr = header_line if isinstance(header_line, Column) else F.lit(header_line)
         lines = lines.filter(F.col(value_col) != hdr)
-    parsed = lines.select(
+    parsed = lines.filter(F.trim(value_col) != "").select(
         F.from_csv(
             F.col(value_col),
             with_corrupt.simpleString(),

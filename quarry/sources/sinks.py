@@ -39,12 +39,19 @@ def write_n_files(
     fmt: str = "parquet",
     mode: str = "overwrite",
     header: bool = False,
+    keys: Sequence[str] = (),
+    max_rows: int = 5_000_000,
 ) -> str:
-    """Spread ``df`` over ``n_files`` files (round-robin repartition) and write.
+    """Spread ``df`` over at least ``n_files`` files and write.
 
-    Used to stage a table as a sequence of files for a file-stream source.
+    An input that has more partitions than that keeps as many tasks, and no
+    file gets more than ``max_rows`` rows, so a large table does not go
+    through ``n_files`` tasks. With ``keys`` a row's file follows from a hash
+    of them and not from the order of the input. Used to stage a table as a
+    sequence of files for a file-stream source.
     """
-    writer = df.repartition(n_files).write.mode(mode).format(fmt)
+    tasks = max(n_files, df.rdd.getNumPartitions())
+    writer = df.repartition(tasks, *keys).write.mode(mode).format(fmt).option("maxRecordsPerFile", max_rows)
     if fmt == "csv":
         writer = writer.option("header", str(header).lower())
     writer.save(path)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.session import scratch_path
+from quarry.session import delete_path, scratch_path
 
 
 def _start(writer, available_now: bool) -> StreamingQuery:
@@ -35,8 +35,10 @@ def run_available(
 
     Sink choice:
     * ``foreach_batch`` -- user callback per micro-batch;
-    * ``sink_path`` with ``complete`` -- each batch overwrites a Parquet
-      table with the full result (idempotent on retry);
+    * ``sink_path`` with ``complete`` -- each batch writes the full result to
+      a folder of its own, ``batch=<id>`` (idempotent on retry), and then the
+      versions before the last one go: a crash in the middle of a batch leaves
+      the last whole result, which :func:`read_latest` finds;
     * ``sink_path`` with ``append`` -- Parquet file sink (exactly once);
     * otherwise a named in-memory table (small results, tests).
     """
@@ -48,10 +50,13 @@ def run_available(
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     elif sink_path is not None and output_mode == "complete":
-        def overwrite(batch: DataFrame, _batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(sink_path)
+        def keep_version(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+            for old in _versions(spark, sink_path):
+                if old < batch_id - 1:
+                    delete_path(spark, f"{sink_path}/batch={old}")
 
-        w = w.foreachBatch(overwrite)
+        w = w.foreachBatch(keep_version)
     elif sink_path is not None:
         if output_mode != "append":
             raise ValueError(
@@ -73,8 +78,39 @@ def run_available(
     return q
 
 
+def start_append(stream: DataFrame, sink_path: str, checkpoint: str | None = None) -> StreamingQuery:
+    """A running append query into a Parquet sink; the caller feeds its source,
+    waits with ``processAllAvailable`` and stops it."""
+    checkpoint = checkpoint or scratch_path(stream.sparkSession, "stream-ckpt")
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.format("parquet").option("path", sink_path).start()
+
+
 def read_sink(spark: SparkSession, sink_path: str, schema=None) -> DataFrame:
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(sink_path)
+
+
+def _versions(spark: SparkSession, sink_path: str) -> list[int]:
+    """Batches whose complete result was written to the end."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{sink_path}/batch=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or [])
+
+
+def read_latest(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The last whole result of a complete-mode sink."""
+    versions = _versions(spark, sink_path)
+    if not versions:
+        raise ValueError(f"no batch has been written to {sink_path}")
+    return spark.read.parquet(f"{sink_path}/batch={versions[-1]}")
+
+
+def result_table(spark: SparkSession, name: str, sink_path: str) -> DataFrame:
+    """The last whole result as a catalog table ``name`` (its files stay where
+    they are), so that SQL can name it."""
+    versions = _versions(spark, sink_path)
+    spark.catalog.createTable(name, path=f"{sink_path}/batch={versions[-1]}", source="parquet")
+    return spark.table(name)

@@ -11,12 +11,16 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from quarry.session import build_session
+def spark(tmp_path_factory):
+    from quarry.session import build_session, clear_scratch
 
-    s = build_session("local[8]", app_name="quarry-tests", shuffle_partitions=8)
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = build_session(
+        "local[8]", app_name="quarry-tests", shuffle_partitions=8, extra={"spark.checkpoint.dir": shared}
+    )
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clear_scratch(s)
     s.stop()
 
 

@@ -1,12 +1,14 @@
 import random
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import vector_to_array
 
 from quarry.ml import features as FE
 from quarry.ml import metrics as M
+from quarry.ml import models as MO
 from quarry.ml.split import hash_split
 
 
@@ -74,12 +76,72 @@ def test_logistic_metrics_match_evaluators(spark):
     sf = "/root/testdata/sf0.001"
     got = TM.logistic_metrics(spark, sf).collect()[0]
     train, _ = hash_split(TM.customer_frame(spark, sf), ["id"], 0.7, seed=4)
-    preds = TM._fitted_logistic(spark, sf).transform(train)
+    preds = TM.fit_logistic(spark, sf).transform(train)
     auc = BinaryClassificationEvaluator(labelCol="known_label", numBins=0).evaluate(preds)
     acc = MulticlassClassificationEvaluator(labelCol="known_label", metricName="accuracy").evaluate(preds)
     assert got.auc == pytest.approx(auc, abs=1e-8) and got.accuracy == pytest.approx(acc, abs=1e-8)
 
 
+def test_forest_metrics_match_evaluators(spark):
+    from quarry.plans import tables_ml as TM
+
+    sf = "/root/testdata/sf0.001"
+    got = {r.split: r for r in TM.forest_metrics(spark, sf).collect()}
+    preds = TM._forest_predictions(spark, sf).persist()
+    for split in ("train", "test"):
+        for name, column in (("accuracy", "accuracy"), ("weightedPrecision", "weighted_precision"),
+                             ("weightedRecall", "weighted_recall"), ("weightedFMeasure", "weighted_f1")):
+            ev = MulticlassClassificationEvaluator(labelCol="rating", metricName=name)
+            assert got[split][column] == pytest.approx(ev.evaluate(preds.where(preds.split == split)), abs=1e-8)
+    preds.unpersist()
+
+
+def test_forest_follows_no_input_partitions_below_the_bound(spark):
+    """However few partitions the input has, the trees are the same."""
+    from quarry.plans import tables_ml as TM
+
+    data = TM.retail_frame(spark, "/root/testdata/sf0.001").persist()
+    pipeline = MO.forest_pipeline(TM.FOREST_COLUMNS, "rating", num_trees=5, max_depth=4)
+    trees = []
+    for n in (2, 8):
+        model = MO.fit(pipeline, data.repartition(n), keys=["o_orderkey"], partitions=16)
+        trees.append(model.stages[-1].toDebugString.split("\n", 1)[1])
+    assert trees[0] == trees[1]
+    data.unpersist()
+
+
+def test_spread_leaves_many_partitions_alone(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    assert MO.spread(df.repartition(64), ["k"], 16).rdd.getNumPartitions() == 64
+    assert MO.spread(df.coalesce(1), ["k"], 16).rdd.getNumPartitions() == 16
+
+
+def test_feature_stages_count_all_categories_in_one_stage(spark):
+    columns = FE.Columns(bucketed={"x": [-1.0, 0.5, 2.0]}, indexed=["a"], one_hot=["b", "c"], plain=["x"], scaled=["x", "y"])
+    stages = FE.feature_stages(columns, "v", keep_unseen=True, prefix="t")
+    assert sum(type(s).__name__ == "StringIndexer" for s in stages) == 1
+    df = spark.createDataFrame([("p", "q", "r", 0.0, 1.0), ("p", "s", "r", 1.0, 3.0)], "a string, b string, c string, x double, y double")
+    out = Pipeline(stages=stages).fit(df).transform(df).select(vector_to_array("v").alias("v")).collect()
+    # bucket, index, one-hot b (2, no extra), one-hot c (1), x, scaled x and y
+    assert [len(r.v) for r in out] == [8, 8] and out[1].v[:2] == [1.0, 0.0] and out[1].v[5] == 1.0
+    assert out[1].v[6] == pytest.approx(2**0.5) and out[1].v[7] == pytest.approx(3 / 2**0.5)
+
+
+@pytest.mark.parametrize("rows", [[(None, 1.0)], [(1.0, None)]])
+def test_null_labels_predictions_and_scores_raise(spark, rows):
+    df = spark.createDataFrame([(1.0, 1.0), (0.0, 0.5), *rows], "label double, score double")
+    with pytest.raises(Exception, match="null (label|prediction)"):
+        M.class_metrics(df, "label", "score").collect()
+    with pytest.raises(Exception, match="null (label|score)"):
+        M.binary_auc(df).collect()
+
+
+def test_class_metrics_reads_its_input_once(spark, tmp_dir):
+    spark.createDataFrame([(0.0, 1.0)], "label double, prediction double").write.parquet(f"{tmp_dir}/p")
+    m = M.class_metrics(spark.read.parquet(f"{tmp_dir}/p"))
+    assert m._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_grouped_metrics_equal_per_group(spark):
     rnd = random.Random(11)
     rows = [(g, float(rnd.randint(0, 2)), float(rnd.randint(0, 3))) for g in ("a", "b") for _ in range(300)]

@@ -97,7 +97,7 @@ def test_partitioned_write_prunes_and_fails_if_exists(spark):
 
 
 def test_n_file_writer(spark):
-    df = spark.range(100)
+    df = spark.range(0, 100, 1, 2)
     path = scratch_path(spark, "t-nfiles")
     write_n_files(df, path, n_files=5, fmt="csv")
     local = path[5:] if path.startswith("file:") else path
@@ -153,3 +153,36 @@ def test_strict_csv_projection_invariant(spark, tmp_path_factory, rows):
         df.select("Date").count(),
     }
     assert counts == {keep}
+
+
+def test_blank_lines_are_no_records(spark, tmp_dir):
+    strict_csv_lines = CSV.strict_csv_lines
+    with open(f"{tmp_dir}/a.csv", "w") as f:
+        f.write("k,v\n1,x\n\n   \n2,y\n\n")
+    out = CSV.read_csv_strict(spark, f"{tmp_dir}/a.csv", "k int, v string")
+    assert sorted(map(tuple, out.collect())) == [(1, "x"), (2, "y")]
+    os.makedirs(f"{tmp_dir}/in")
+    os.replace(f"{tmp_dir}/a.csv", f"{tmp_dir}/in/a.csv")
+    lines = spark.readStream.text(f"{tmp_dir}/in")
+    stream = strict_csv_lines(lines, "k int, v string", header_line="k,v")
+    q = stream.writeStream.format("memory").queryName("blank_lines").option(
+        "checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(map(tuple, spark.table("blank_lines").collect())) == [(1, "x"), (2, "y")]
+    spark.catalog.dropTempView("blank_lines")
+
+
+def test_many_partitions_keep_their_tasks(spark, tmp_dir):
+    df = spark.range(0, 4000, 1, 40)
+    write_n_files(df, f"{tmp_dir}/wide", n_files=20, keys=["id"])
+    write_n_files(df.coalesce(2), f"{tmp_dir}/few", n_files=20, max_rows=50)
+    files = lambda d: [f for f in os.listdir(f"{tmp_dir}/{d}") if f.startswith("part-")]
+    assert len(files("wide")) == 40 and len(files("few")) >= 4000 / 50
+
+
+def test_session_setting_comes_first(spark):
+    from quarry.session import ensure_checkpoint_dir
+
+    want = spark.conf.get("spark.checkpoint.dir")
+    spark.sparkContext.setCheckpointDir(f"{want}/other")
+    assert ensure_checkpoint_dir(spark) == want and scratch_path(spark, "x").startswith(f"{want}/quarry-scratch/")

@@ -1,7 +1,8 @@
 import math
 import random
 
-from hypothesis import given, settings
+import pytest
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from quarry.operators import spatial as S
@@ -67,3 +68,25 @@ def test_grid_cells_and_push(spark):
     assert cells == {"a": (1, 0), "b": (-1, 2)}
     pushed = sorted((r.cx, r.cy, r.home) for r in S.grid_push(S.grid_cells(df, 0.75)).collect() if r.id == "a")
     assert pushed == sorted([(1, 0, True), (1, 1, False), (2, 1, False), (2, 0, False), (2, -1, False)])
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), -float("inf")])
+def test_non_finite_coordinates_raise(spark, bad):
+    df = spark.createDataFrame([("a", bad, 0.0), ("b", 0.0, 0.0)], "id string, x double, y double")
+    with pytest.raises(Exception, match="must be finite"):
+        S.close_pairs(df, 0.5).collect()
+    with pytest.raises(Exception, match="must be finite"):
+        S.grid_cells(df, 0.5).collect()
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(-3, 3), st.integers(-3, 3)), min_size=2, max_size=25), st.sampled_from([0.0, 1e5, 1e8]))
+def test_pairs_far_from_the_origin(spark, steps, origin):
+    t = 0.5
+    rows = [(f"p{i}", origin + a * t / 2, origin + b * t / 2) for i, (a, b) in enumerate(steps)]
+    got = {(r.id_a, r.id_b) for r in S.close_pairs(spark.createDataFrame(rows, "id string, x double, y double"), t).collect()}
+    want = {
+        (min(p, q), max(p, q)) for i, (p, x, y) in enumerate(rows) for q, u, v in rows[:i]
+        if ((x - u) ** 2 + (y - v) ** 2) ** 0.5 <= t
+    }
+    assert got == want

@@ -95,7 +95,7 @@ def test_complete_mode_resumes_from_checkpoint(spark, tmp_dir):
     """Half the files, stop, the rest, restart on the same checkpoint: the
     overwritten complete-mode table equals the batch result over all rows."""
     from quarry.sources.sinks import write_n_files
-    from quarry.streaming.sinks import read_sink
+    from quarry.streaming.sinks import read_latest
     from quarry.streaming.sources import csv_stream
 
     staged = TB.tagged_events(spark, SF_SMALL).withColumnRenamed("tags", "tag")
@@ -112,7 +112,7 @@ def test_complete_mode_resumes_from_checkpoint(spark, tmp_dir):
     run()
     write_n_files(second, src, n_files=4, fmt="csv", mode="append")
     run()
-    got = sorted(tuple(r) for r in T.flatten_window(read_sink(spark, out)).collect())
+    got = sorted(tuple(r) for r in T.flatten_window(read_latest(spark, out)).collect())
     want = sorted(
         tuple(r) for r in T.trending_tags(staged, "ts", "tag", 0, count_alias="tag_count").collect()
     )
@@ -124,3 +124,26 @@ def test_tumbling_window_without_slide(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     rep = T.trending_tags(df, "Date", "Hashtags", min_count=0, slide=None).collect()
     assert [(r.window_start.hour, r.Count) for r in rep] == [(0, 3), (1, 3)]
+
+
+def test_a_half_written_batch_leaves_the_last_result(spark, tmp_dir):
+    import os
+
+    from quarry.streaming.sinks import read_latest, result_table
+
+    for batch, done in ((3, True), (4, False)):
+        spark.range(batch).write.parquet(f"{tmp_dir}/out/batch={batch}")
+        if not done:
+            os.remove(f"{tmp_dir}/out/batch={batch}/_SUCCESS")
+    assert read_latest(spark, f"{tmp_dir}/out").count() == 3
+    result_table(spark, "last_result", f"{tmp_dir}/out")
+    assert spark.sql("SELECT COUNT(*) AS n FROM last_result").first().n == 3
+    spark.sql("DROP TABLE last_result")
+    assert read_latest(spark, f"{tmp_dir}/out").count() == 3
+
+
+def test_forest_scores_every_batch(spark):
+    from quarry.plans import tables_stream as TS
+
+    rows = TS.stream_batch_metrics(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 4 and all(0 < r.accuracy <= 1 for r in rows)
