@@ -4,15 +4,15 @@ prefix sums and storage under the cluster's shared folder."""
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import scratch_path
+
 #: The contract's white space and word classes.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,14 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir`` (read from the session;
-    the library's own default only where the setting is missing)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        from quarry.session import ensure_checkpoint_dir
-
-        base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under ``spark.checkpoint.dir``, where all executors see
+    it (a private one only where the setting is missing, in local mode)."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -42,19 +37,6 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z to a-z, every other character kept."""
-    return F.translate(text, UPPER, LOWER)
-
-
-def words(text: Column) -> Column:
-    """The words of a text (none for null or blank)."""
-    parts = F.split(F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", ""), rf"[{SPACE}]+")
-    return F.when(F.coalesce(text, F.lit("")).rlike(rf"[^{SPACE}]"), parts).otherwise(
-        F.array().cast("array<string>")
-    )
-
-
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(rf"[^{SPACE}]++")), F.lit(0)).cast("long")
 

@@ -346,7 +346,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     rank = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_at").alias("at"))
     grouped = written(joined.join(ids, F.col("_row") == F.col("_at")).select("component_id", rank.alias("rank")), "join-rank")
     stay = grouped.groupBy(F.col("component_id").alias("_c")).agg(F.min("rank").alias("first"))
-    gone = grouped.join(stay, F.col("component_id") == F.col("_c")).where(F.col("rank.at") != F.col("first.at"))
+    # Written, so that the join has two plain shuffles and a hot group is split.
+    gone = grouped.join(written(stay, "join-first"), F.col("component_id") == F.col("_c")).where(F.col("rank.at") != F.col("first.at"))
     folder, bits = shared_dir(spark, "join-gone"), shard_bits(shuffle_width(spark) // 4)
     # Spread by a multiplicative hash, as row numbers fill few top bits.
     keys = gone.select(F.col("rank.at").alias("at"))
