@@ -50,4 +50,7 @@ QUERIES = {
     f.__name__: f
     for f in (op1_pii, op2_mixing, op3_kneser_ney, op4_topk, op5_ngram_join, op6_permutation, op7_secrets, op8_packing, op9_html, op10_toxicity)
 }
-ORACLE_SQL = {"op2_mixing": mixing.ORACLE_SQL, "op4_topk": topk.ORACLE_SQL}
+ORACLE_SQL = {
+    "op2_mixing": mixing.ORACLE_SQL, "op4_topk": topk.ORACLE_SQL, "op5_ngram_join": ngram_join.ORACLE_SQL,
+    "op7_secrets": secrets.ORACLE_SQL,
+}

@@ -382,3 +382,30 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def digest(docs: DataFrame) -> DataFrame:
     return join(docs)
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[^\x20\x09-\x0D]+') AS t
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) = 0 THEN []::VARCHAR[]
+    WHEN len(t) < 5 THEN [array_to_string(t, ' ')]
+    ELSE list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i : i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM w
+  UNION
+  SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.doc_id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       (SELECT min(root) FROM reach r WHERE r.doc_id = w.doc_id) AS component_id,
+       (SELECT count(*) FROM links l WHERE l.x = w.doc_id) AS n_links
+FROM w LEFT JOIN n USING (doc_id)
+"""

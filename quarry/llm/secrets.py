@@ -181,3 +181,46 @@ def digest(docs: DataFrame) -> DataFrame:
         F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256"),
         joined(F.col("secret_spans")).alias("spans"),
     )
+
+
+def _sql_matches(kind: str, pattern: str, keep: str) -> str:
+    """Rows (doc, kind, start, stop) of a pattern's matches, located by the
+    lengths of the texts between them."""
+    return f"""
+  SELECT doc_id, rn, '{kind}' AS kind, m, start, start + len(m) AS stop FROM (
+    SELECT doc_id, rn, ms[i] AS m,
+           list_sum(list_transform(gs[1:i], lambda g: len(g))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: len(x))), 0) AS start
+    FROM (SELECT doc_id, rn, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM (
+      SELECT doc_id, rn, regexp_extract_all(text, $r${pattern}$r$) AS ms, string_split_regex(text, $r${pattern}$r$) AS gs FROM docs)))
+  WHERE {keep}"""
+
+
+_ASSIGN_SQL = r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
+_ENTROPY_SQL = (
+    "list_max(list_transform(range(1, len(m) - 18), lambda i: "
+    "list_aggregate(string_split(substr(m, i, 20), ''), 'entropy'))) >= {bits} "
+    "AND NOT regexp_matches(m, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$') "
+    "AND NOT regexp_matches(m, '(?i)abcdefghijklmnop|0123456789abcdef|example|placeholder|xxxxxxxx')"
+)
+ORACLE_SQL = (
+    "WITH docs AS (SELECT doc_id, row_number() OVER () AS rn, coalesce(text, '') AS text FROM documents), base AS ("
+    + _sql_matches("assign", _ASSIGN_SQL, r"len(regexp_extract(m, '[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6")
+    + " UNION ALL " + _sql_matches("access", "AKIA[A-Z0-9]+", "len(m) >= 20")
+    + " UNION ALL " + _sql_matches("hex", "[0-9a-f]+", "len(m) >= 24")
+    + "), found AS (SELECT DISTINCT doc_id, rn, 'entropy' AS kind, start, stop FROM ("
+    + _sql_matches("hex", "[0-9a-fA-F]{20,}", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-fA-F]') AND " + _ENTROPY_SQL.format(bits=3.0))
+    + " UNION ALL "
+    + _sql_matches("base64", "[A-Za-z0-9+/=_-]{20,}", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND " + _ENTROPY_SQL.format(bits=3.9))
+    + """)), spans AS (
+  SELECT doc_id, rn, kind, start, stop FROM base UNION ALL
+  SELECT * FROM found f WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rn = f.rn AND b.start = f.start AND b.stop = f.stop)),
+digest AS (
+  SELECT rn, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['assign', 'access', 'hex', 'entropy'], kind), stop) AS spans,
+         coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, list_position(['assign', 'access', 'hex', 'entropy'], kind), stop) FILTER (kind <> 'entropy'), '') AS base,
+         count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex
+  FROM spans GROUP BY rn)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN digest USING (rn)
+"""
+)
