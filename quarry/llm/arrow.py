@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -9,23 +10,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
-def map_batches(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator], schema: str) -> DataFrame:
+def map_batches(
+    df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator], schema: str | StructType
+) -> DataFrame:
     """``mapInArrow`` whose function may yield dicts of columns."""
     fields = _arrow(schema)
 
     def run(batches):
-        for out in func(batches):
-            yield out if isinstance(out, pa.RecordBatch) else batch(out, fields)
+        try:
+            for out in func(batches):
+                yield out if isinstance(out, pa.RecordBatch) else batch(out, fields)
+        finally:
+            give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return free memory to the system: workers are reused and would hold the
+    peak of one task through all tasks and stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def apply_groups(df: DataFrame, keys: list[str], func: Callable[[pa.Table], dict], schema: str) -> DataFrame:
     """``applyInArrow`` whose function returns a dict of columns."""
     fields = _arrow(schema)
-    return df.groupBy(*keys).applyInArrow(
-        lambda t: pa.Table.from_batches([batch(func(t), fields)]), schema
-    )
+
+    def run(t: pa.Table) -> pa.Table:
+        out = pa.Table.from_batches([batch(func(t), fields)])
+        give_back()
+        return out
+
+    return df.groupBy(*keys).applyInArrow(run, schema)
 
 
 def batch(columns: dict, fields: pa.Schema) -> pa.RecordBatch:
@@ -36,11 +55,11 @@ def batch(columns: dict, fields: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _arrow(schema: str) -> pa.Schema:
+def _arrow(schema: str | StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    parsed = _parse_datatype_string(schema)
+    parsed = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
     assert isinstance(parsed, StructType)
     return to_arrow_schema(parsed)
 

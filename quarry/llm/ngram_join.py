@@ -46,7 +46,7 @@ from quarry.llm.store import Shards, save, shard_bits
 from quarry.llm.tokens import documents, mix
 
 N = 5  #: words of a shingle
-TOKENS, DOCS = 2 << 20, 60_000  #: words and documents (16 bits) of a batch
+TOKENS, DOCS = 1 << 20, 60_000  #: words and documents (16 bits) of a batch
 KEY_BITS = 48  #: of a shingle's hash that are sent
 CELL = 512  #: classes of a block
 FRAGMENT = 4096  #: different shingles of a cell's fragment
@@ -377,7 +377,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             hit[order] = shards.find(k[order])[0]
             yield b.filter(pa.array(~hit))
 
-    return base.mapInArrow(keep, base.schema).select(*docs.columns)
+    return map_batches(base, keep, base.schema).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:

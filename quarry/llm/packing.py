@@ -20,6 +20,7 @@ empty result; further columns are not read.
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from quarry.llm.arrow import map_batches, texts
 LIMIT = 2048
 END = 1  #: fixed value: the id that ends a document
 SCHEMA = "doc_id {0}, start long, length long, ids binary, doc_tokens long"
-FLUSH = 1 << 20  #: tokens gathered before a batch goes out
+FLUSH = 1 << 18  #: tokens gathered before a batch goes out
 
 
 def cuts(n: int, limit: int = LIMIT) -> list[tuple[int, int]]:
@@ -59,15 +60,24 @@ class Encoder:
     def __init__(self, json_path: str, rank_path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(rank_path, "rb") as f:
             ranks = {base64.b64decode(k): int(v) for k, v in map(bytes.split, f)}
         self.fast = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.full = Tokenizer.from_file(json_path)
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        with open(json_path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
+        self.json_path, self._full = json_path, None
+
+    @property
+    def full(self):
+        """The tokenizer of the ``tokenizers`` library, read when first needed."""
+        if self._full is None:
+            from tokenizers import Tokenizer
+
+            self._full = Tokenizer.from_file(self.json_path)
+        return self._full
 
     def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):

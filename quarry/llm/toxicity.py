@@ -30,7 +30,7 @@ from quarry.llm.arrow import map_batches, texts
 
 SIZES = (4, 5)  #: lengths of the n-grams
 BITS = 22
-CHUNK = 1 << 20  #: characters hashed at once
+CHUNK = 1 << 18  #: characters hashed at once
 MAX_ROWS = 40_000
 MAX_FEATURES = 2048
 MIN_DOCS = 5  #: documents of the sample that a feature needs
@@ -191,7 +191,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, text: str = "text", threshold
             z = np.array([bias + float(table[features(body, table)].sum(dtype=np.float64)) for body in texts(b.column(names.index(text)))])
             yield b.filter(pa.array(z < cut))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.arrow import _arrow, batch
+from quarry.llm.arrow import _arrow, batch, give_back
 from quarry.llm.common import written
 
 ROWS, QUERIES = 8192, 1024  #: about so many rows and queries meet in a cell
@@ -51,6 +51,7 @@ def cells(
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         out = batch(func(a, b), fields) if a.num_rows and b.num_rows else empty
+        give_back()
         return pa.Table.from_batches([out])
 
     keys = ("dim", "_q", "_r")
