@@ -119,7 +119,7 @@ def pack(
             yield out
 
     pieces = map_batches(docs.select(key, text), run, SCHEMA.format(kind))
-    bucket = F.log2("length").cast("int")
+    bucket = F.length(F.bin("length")) - 1
     return pieces.withColumn("bucket", bucket).withColumn(
         "sequence_id", F.monotonically_increasing_id() + F.shiftleft(F.col("bucket").cast("long"), 58)
     ).withColumn("offset", F.lit(0).cast("long"))
