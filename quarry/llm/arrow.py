@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+# The functions go to the workers with their code: executors need not have
+# this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules["quarry.llm"])
+
 
 def map_batches(
     df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator], schema: str | StructType
