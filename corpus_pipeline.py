@@ -37,8 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two lengths."""
-    return packing.digest(docs)
+    """Pieces of power-of-two lengths with their token ids."""
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

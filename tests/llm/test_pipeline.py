@@ -3,13 +3,16 @@
 import importlib
 import re
 import sys
+import zlib
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quarry.llm import ngram_join, secrets, toxicity
+from quarry.llm import ngram_join, packing, secrets, toxicity
 from quarry.llm.common import written
 
 SF = "/root/testdata/sf0.001"
@@ -66,6 +69,19 @@ def test_packing_holds_every_token(steps):
     assert sum(r["length"] for r in steps[5].collect()) == want
 
 
+def test_packed_ids_are_the_tokenizers(steps):
+    """Every document's pieces put together give its ids, as often as it stands in the mix."""
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for r in steps[4].collect():
+        ids = np.array([*tok.encode(r["text"], add_special_tokens=False).ids, packing.END], "<u4")
+        for start, length in packing.cuts(len(ids)):
+            want[r["doc_id"], start, ids[start : start + length].tobytes()] += 1
+    got = steps[5].collect()
+    assert Counter((r["doc_id"], r["start"], bytes(r["ids"])) for r in got) == want
+    assert all(len(r["ids"]) == 4 * r["length"] and r["ids_crc32"] == zlib.crc32(r["ids"]) for r in got)
+
+
 def test_run_gives_the_last_stage(spark, steps):
     key = lambda df: sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in df.collect())
     assert key(corpus_pipeline.run(spark, SF)) == key(steps[5])
