@@ -1,7 +1,10 @@
 """Personal data and secrets against Python's re on the same contract."""
 
 import hashlib
+import random
 import re
+import string
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -133,6 +136,28 @@ def test_entropy_spans_and_allow_list(spark):
     assert out == {1: "entropy:4:24", 2: "", 3: "", 4: ""}
 
 
+@pytest.mark.parametrize("name,chars", [
+    ("hex", "0123456789abcdef"), ("base32", string.ascii_uppercase + "234567"),
+    ("upper", string.ascii_uppercase + string.digits), ("lower", string.ascii_lowercase + string.digits),
+    ("base62", string.ascii_letters + string.digits), ("base64", string.ascii_letters + string.digits + "+/"),
+])
+def test_random_tokens_are_found(spark, name, chars):
+    rng = random.Random(7)
+    rows = [(n * 1000 + i, f"the {''.join(rng.choices(chars, k=n))} end") for n in (20, 22, 24, 32) for i in range(300)]
+    out = secrets.scan(docs(spark, rows)).where("size(secret_spans) > 0").select("doc_id").collect()
+    found = Counter(r["doc_id"] // 1000 for r in out)
+    assert all(found[n] >= 0.96 * 300 for n in (20, 22, 24, 32)), found
+
+
+def test_words_are_no_secrets(spark):
+    words = [
+        "internationalization2024", "getUserAccountDetailsById2", "INTERNATIONALIZATION2024", "/usr/local/lib/Python3/sitePackages",
+        "some-Long-Title-with-words-2024", "12345678901234567890", "MAX_NUMBER_OF_Entries_10", "z" * 3000 + "1" * 9,
+    ]
+    rows = [(i, f"see {w} there") for i, w in enumerate(words)]
+    assert {r["spans"] for r in secrets.digest(docs(spark, rows)).collect()} == {""}
+
+
 def test_redaction_merges_spans(spark):
     hexes = "0123456789abcdeffedcba98"
     rows = [(1, f"a token = {hexes}z b {hexes}"), (2, None), (3, "clean")]
