@@ -19,8 +19,10 @@ when their Jaccard similarity reaches 3/4. The steps:
    only: out go, per class, its links and a root of its component.
 5. The roots' components give every document its class's component.
 
-No task holds a whole shingle group, cluster or class: groups are summed on
-the map side and clusters come in blocks of bounded size.
+No task holds a whole cluster or class: clusters come in blocks of bounded
+size. A shingle group does lie in one task: a shard holds all documents of its
+shingles, as the map side joins a batch's postings without summing them. More
+shuffle partitions make shards smaller but don't split one shingle's group.
 
 Defined cases: null and blank texts have an empty set and link with nothing;
 rows with a null id link with nothing and have no component; repeated rows and
