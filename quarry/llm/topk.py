@@ -11,6 +11,10 @@ inner product over its part, and a row's score is the sum over the nodes.
 3. The remaining partial scores of these entries are resolved exactly and the
    sums at or above the cutoff compete for the k places.
 
+The nodes are slices of the components inside one task, not places of their
+own. Phases 1 and 2 each compute every partial product of a cell, so the
+cutoff spares no products, only entries that are gathered and sorted.
+
 Queries and rows meet in blocks (see ``vectors.cells``). A cell hands on at
 most k rows per query, with ties to the smaller id, which loses nothing.
 
