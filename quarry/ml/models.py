@@ -37,13 +37,16 @@ def forest_pipeline(
     max_depth: int = 10,
     seed: int = 4,
     max_memory_mb: int = 1024,
+    bootstrap: bool = True,
+    feature_subset: str = "auto",
 ) -> Pipeline:
     """Features from ``columns`` (unseen categories kept) and a random forest.
 
     The seed is fixed so the trees do not depend on the Python process.
     ``max_memory_mb`` lets one pass over the data split more tree nodes at
     once (fewer passes); node ids are cached between levels so the trees
-    are not re-shipped to the executors every pass.
+    are not re-shipped to the executors every pass. One tree without
+    ``bootstrap`` over ``all`` features is the plain best-split tree.
     """
     forest = RandomForestClassifier(
         labelCol=label,
@@ -53,6 +56,8 @@ def forest_pipeline(
         seed=seed,
         maxMemoryInMB=max_memory_mb,
         cacheNodeIds=True,
+        bootstrap=bootstrap,
+        featureSubsetStrategy=feature_subset,
     )
     return Pipeline(stages=[*feature_stages(columns, features, keep_unseen=True), forest])
 

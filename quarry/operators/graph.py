@@ -15,12 +15,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.rounds import Rounds
 from quarry.operators.skew import hot_slices
-from quarry.session import cut_lineage, scratch_path
 
 
 @dataclass(frozen=True)
@@ -167,12 +168,66 @@ def _landmark_frame(g: Graph, landmarks) -> DataFrame:
     return found.select(F.col("id").alias("landmark"))
 
 
+def _held_bytes(pairs: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``(id, landmark)`` pairs, measured."""
+    size = F.sum(sum((F.octet_length(F.col(c).cast("string")) + 16 for c in ("id", "landmark")), F.lit(0)))
+    return tuple(pairs.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first())
+
+
+class _Visited:
+    """The pairs of the levels so far, for anti joins that don't move them.
+
+    Levels that are small in sum (``limit`` bytes, measured) are broadcast.
+    What goes beyond that is written once more, bucketed on ``(id, landmark)``:
+    candidates that are de-duplicated already have that partitioning."""
+
+    def __init__(self, spark, rounds: Rounds, buckets: int, limit: int):
+        self.spark, self.rounds, self.buckets, self.limit = spark, rounds, buckets, limit
+        self.small: list[DataFrame] = []
+        self.held, self.tables = 0, []
+
+    def add(self, pairs: DataFrame, held: int, level: int) -> None:
+        self.small.append(pairs.select("id", "landmark"))
+        self.held += held
+        if self.held <= self.limit:
+            return
+        step, table = f"visited-{level}", f"quarry_visited_{uuid.uuid4().hex}"
+        path, rows = f"{self.rounds.path}/{step}", self._union()
+        if self.rounds.whole(step):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+            self.spark.sql(
+                f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (id, landmark) SORTED BY (id, landmark) "
+                f"INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            )
+        else:
+            (
+                rows.repartition(self.buckets, "id", "landmark").write.mode("overwrite").format("parquet")
+                .bucketBy(self.buckets, "id", "landmark").sortBy("id", "landmark").option("path", path).saveAsTable(table)
+            )
+        self.tables.append(table)
+        self.small, self.held = [], 0
+
+    def _union(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.small)
+
+    def new(self, pairs: DataFrame) -> DataFrame:
+        """Those of the distinct ``pairs`` that no level has."""
+        for table in self.tables:
+            pairs = pairs.join(self.spark.table(table), ["id", "landmark"], "left_anti")
+        return pairs.join(F.broadcast(self._union()), ["id", "landmark"], "left_anti") if self.small else pairs
+
+    def drop(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")  # its files stay at the path
+
+
 def hops_to_landmarks(
     g: Graph,
     landmarks,
     max_hops: int | None = None,
     broadcast_bytes: int = 8 << 20,
     partitions: int | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """Fewest edges on a directed path from each vertex to each landmark.
 
@@ -187,54 +242,49 @@ def hops_to_landmarks(
       is moved to the edges' partitions.
     * Candidates are de-duplicated first, with map-side reduction: many edges
       into one new vertex cost one row per task.
-    * Visited pairs are one table bucketed on ``(id, landmark)``, to which
-      every level is appended. The de-duplicated candidates already have that
-      partitioning, so only they move and the visited pairs never do.
-
-    The table lies under the shared checkpoint directory: a lost executor
-    costs at most one level. Stops when a level is empty (or after
-    ``max_hops`` levels).
+    * A level is a table of its own, read alone as the next frontier, in as
+      few files as its rows need. The visited pairs are anti-joined without
+      being moved (:class:`_Visited`).
+
+    The tables lie under the shared checkpoint directory: a lost executor
+    costs at most one level. With ``state``, a folder, they stay there, and a
+    call on the same folder and input goes on after the last level that was
+    written. Stops when a level is empty (or after ``max_hops`` levels).
     """
     spark = g.edges.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    reversed_edges = g.edges.select(F.col("dst").alias("id"), F.col("src").alias("prev")).distinct()
-    reversed_edges = cut_lineage(reversed_edges, "reversed")
-    hubs = hot_slices(reversed_edges, "id", n_parts)
-    rev = hubs.spread(reversed_edges, "prev").repartition(n_parts, "id", "salt").persist()
     start = _landmark_frame(g, landmarks).select(
         F.col("landmark").alias("id"), "landmark", F.lit(0).alias("hops")
     )
-    table, path = f"quarry_hops_{uuid.uuid4().hex}", scratch_path(spark, "hops")
+    rounds = Rounds(spark, state, "hops", [g.edges, start], partitions=n_parts, limit=broadcast_bytes)
+    reversed_edges = rounds.keep(
+        "reversed", lambda: g.edges.select(F.col("dst").alias("id"), F.col("src").alias("prev")).distinct()
+    )
+    hubs = hot_slices(reversed_edges, "id", n_parts, lambda df, name: rounds.keep(name, lambda: df))
+    rev = hubs.spread(reversed_edges, "prev").repartition(n_parts, "id", "salt").persist()
+    visited = _Visited(spark, rounds, n_parts, broadcast_bytes)
 
-    def append(df: DataFrame) -> None:
-        (
-            df.write.mode("append").format("parquet").bucketBy(n_parts, "id", "landmark")
-            .option("path", path).saveAsTable(table)
-        )
+    def next_level(frontier: DataFrame, held: int, level: int) -> DataFrame:
+        around = hubs.repeat(frontier.select("id", "landmark"))
+        if held <= broadcast_bytes:
+            around = F.broadcast(around)
+        reached = around.join(rev, ["id", "salt"]).select(F.col("prev").alias("id"), "landmark").distinct()
+        return visited.new(reached).withColumn("hops", F.lit(level))
 
-    size = F.sum(sum((F.octet_length(F.col(c).cast("string")) + 16 for c in ("id", "landmark")), F.lit(0)))
+    levels = [rounds.keep("level-0", lambda: start)]
     try:
-        append(start)
-        level = 0
-        while max_hops is None or level < max_hops:
-            frontier = spark.table(table).filter(F.col("hops") == level).select("id", "landmark")
-            rows, held = frontier.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+        while max_hops is None or len(levels) <= max_hops:
+            frontier, level = levels[-1], len(levels)
+            rows, held = _held_bytes(frontier)
             if not rows:
                 break
-            level += 1
-            frontier = hubs.repeat(frontier)
-            if held <= broadcast_bytes:
-                frontier = F.broadcast(frontier)
-            reached = (
-                frontier.join(rev, ["id", "salt"]).select(F.col("prev").alias("id"), "landmark").distinct()
-            )
-            visited = spark.table(table).select("id", "landmark")
-            append(reached.join(visited, ["id", "landmark"], "left_anti").withColumn("hops", F.lit(level)))
+            visited.add(frontier, held, level - 1)
+            levels.append(rounds.keep(f"level-{level}", lambda f=frontier, h=held, n=level: next_level(f, h, n)))
     finally:
         rev.unpersist()
-        schema = start.schema
-        spark.sql(f"DROP TABLE IF EXISTS {table}")  # its files stay at the path
-    return spark.read.schema(schema).parquet(path)
+        visited.drop()
+    paths = [f"{rounds.path}/level-{i}" for i in range(len(levels))]
+    return spark.read.schema(start.schema).parquet(*paths)
 
 
 def hops_map(g: Graph, hops: DataFrame) -> DataFrame:

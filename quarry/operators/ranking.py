@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.arrays import head, tail_distinct
 from quarry.functions.strings import split_words
+from quarry.operators.rounds import Rounds
 from quarry.operators.skew import hot_slices
-from quarry.session import cut_lineage
 
 
 def parse_link_lines(
@@ -101,6 +101,7 @@ def pagerank(
     pages: DataFrame | None = None,
     checkpoint_every: int = 3,
     partitions: int | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """Ranks after ``iterations`` rounds as ``(page, rank)``, highest first.
 
@@ -113,21 +114,30 @@ def pagerank(
     no preparation joins edges with counts.
 
     Every ``checkpoint_every`` rounds, and after the last, the ranks are
-    written as a table under the shared checkpoint directory.
+    written as a table under the shared checkpoint directory. With ``state``,
+    a folder, these tables, the edges and the degrees stay there: a call on
+    the same folder and input goes on after the last round that was kept
+    (also towards more rounds than the call before it asked for).
     """
     spark = link_edges_df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = "n_targets" in link_edges_df.columns
-    base = cut_lineage(
-        link_edges_df.select("page", "target", *(["n_targets"] if counted else [])), "link-edges"
+    given = [link_edges_df, *([pages] if pages is not None else [])]
+    rounds = Rounds(spark, state, "pagerank", given, damping=damping, partitions=n_parts)
+    base = rounds.keep(
+        "link-edges", lambda: link_edges_df.select("page", "target", *(["n_targets"] if counted else []))
     )
-    hot = hot_slices(base, "page", n_parts)
+    hot = hot_slices(base, "page", n_parts, lambda df, name: rounds.keep(name, lambda: df))
     edges = partitioned_edges(base, hot, n_parts).persist()
-    degrees = None if counted else cut_lineage(out_degrees(base), "out-degrees")
+    degrees = None if counted else rounds.keep("out-degrees", lambda: out_degrees(base))
     try:
-        ranks = cut_lineage(initial_ranks(base, pages), "ranks-0")
-        n_pages = ranks.select(F.count(F.lit(1))).scalar() if damping is not None else None
-        for i in range(iterations):
+        start = rounds.keep("ranks-0", lambda: initial_ranks(base, pages))
+        n_pages = start.select(F.count(F.lit(1))).scalar() if damping is not None else None
+        done = min(rounds.last("ranks") or 0, iterations)
+        while not rounds.whole(f"ranks-{done}"):  # more rounds are there than are asked for
+            done -= 1
+        ranks = rounds.keep(f"ranks-{done}", lambda: start)
+        for i in range(done, iterations):
             sent = hot.repeat(shares(ranks, degrees)).repartition(n_parts, "page", "salt")
             summed = (
                 edges.join(sent, ["page", "salt"])
@@ -141,7 +151,7 @@ def pagerank(
                 )
             ranks = summed
             if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
-                ranks = cut_lineage(ranks, f"ranks-{i + 1}")
+                ranks = rounds.keep(f"ranks-{i + 1}", lambda made=ranks: made)
     finally:
         edges.unpersist()
     return ranks.orderBy(F.col("rank").desc(), F.col("page").asc())

@@ -18,5 +18,6 @@ def all_oracle_sql() -> dict[str, str]:
     sql.update(tables_stream.ORACLE_SQL)
     # The stream's result equals its batch twin's (complete mode keeps all).
     sql["stream_trending_tags"] = oracle.ORACLE_SQL["trending_tags"]
+    sql["stream_updates"] = oracle.ORACLE_SQL["trending_tags"]
     keys = all_queries().keys()
     return {k: v for k, v in sql.items() if k in keys and v}

@@ -251,3 +251,7 @@ ORACLE_SQL: dict[str, str] = {
         "WHERE tag_count > 2 ORDER BY window_start, tag_count DESC, tag"
     ),
 }
+ORACLE_SQL["hops_resumed"] = ORACLE_SQL["hops_to_landmarks"]
+ORACLE_SQL["pagerank_resumed"] = ORACLE_SQL["pagerank"]
+ORACLE_SQL["sliding_tag_counts_panes"] = ORACLE_SQL["sliding_tag_counts"]
+ORACLE_SQL["parquet_multi_file_overwrite"] = "SELECT p_partkey, p_name, p_size, p_retailprice FROM part WHERE p_size <= 25"

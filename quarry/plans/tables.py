@@ -51,6 +51,7 @@ RANK_DIGITS = 12
 # grows tenfold a round and ranks reach ten million: two decimals are nine digits.
 LINE_RANK_DIGITS = 2
 PARTITION_VALUE = "Brand#2"
+SMALL_PART = 25
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -207,6 +208,16 @@ def csv_multi_file_roundtrip(spark, sf_dir):
     return spark.read.csv(f"{path}/*.csv", schema=PART_DDL, header=False)
 
 
+def parquet_multi_file_overwrite(spark, sf_dir):
+    """Parts as 20 Parquet files; a second write of the cheaper ones replaces
+    them all, and the files are read back by a glob."""
+    path = scratch_path(spark, "part_parquet_20")
+    parts = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    for kept in (parts, parts.filter(F.col("p_size") <= SMALL_PART)):
+        write_n_files(kept, path, n_files=20, fmt="parquet", keys=["p_partkey"])
+    return spark.read.schema(parts.schema).parquet(f"{path}/*.parquet")
+
+
 # ------------------------------------------------------------------ graph
 
 
@@ -268,6 +279,14 @@ def hops_to_two_landmarks(spark, sf_dir):
     return G.hops_to_landmarks(g, [hub_of(g), SECOND_LANDMARK])
 
 
+def hops_resumed(spark, sf_dir):
+    """Hops to the hub by a search that is left after two levels and taken up
+    from its state folder by a second call."""
+    g, state = stored_routes_graph(spark, sf_dir), scratch_path(spark, "hops-state")
+    G.hops_to_landmarks(g, hub_of(g), max_hops=2, state=state)
+    return G.hops_to_landmarks(g, hub_of(g), state=state)
+
+
 def hops_map(spark, sf_dir):
     g = stored_routes_graph(spark, sf_dir)
     hub = hub_of(g)
@@ -323,6 +342,15 @@ def pagerank(spark, sf_dir):
     return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
 
 
+def pagerank_resumed(spark, sf_dir):
+    """The ranks of ``pagerank`` from a loop that is left after four rounds and
+    taken up from its state folder by a second call."""
+    links, state = cut_lineage(_graph_links(spark, sf_dir), "rank-links"), scratch_path(spark, "rank-state")
+    R.pagerank(links, iterations=4, checkpoint_every=2, state=state)
+    ranks = R.pagerank(links, iterations=RANK_ROUNDS, checkpoint_every=2, state=state)
+    return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
+
+
 def pagerank_lines(spark, sf_dir):
     """Ranks straight from text link lines, one line per order: a
     customer owning several lines contributes from each of them."""
@@ -380,6 +408,12 @@ def sliding_tag_counts(spark, sf_dir):
     return T.flatten_window(counts)
 
 
+def sliding_tag_counts_panes(spark, sf_dir):
+    """The counts of ``sliding_tag_counts`` by way of panes."""
+    counts = T.pane_counts(explode_tags(spark, sf_dir), "ts", "tag", "60 minutes", "30 minutes", "tag_count")
+    return T.flatten_window(counts)
+
+
 def trending_tags(spark, sf_dir):
     ev = tagged_events(spark, sf_dir).withColumnRenamed("tags", "tag")
     return T.trending_tags(ev, "ts", "tag", TREND_MIN_COUNT, count_alias="tag_count")
@@ -400,6 +434,7 @@ QUERIES: dict[str, QueryFn] = {
     "csv_strict_scan": csv_strict_scan,
     "csv_typed_clean": csv_typed_clean,
     "csv_multi_file_roundtrip": csv_multi_file_roundtrip,
+    "parquet_multi_file_overwrite": parquet_multi_file_overwrite,
     "graph_edges": graph_edges,
     "graph_vertices": graph_vertices,
     "graph_counts": graph_counts,
@@ -407,11 +442,13 @@ QUERIES: dict[str, QueryFn] = {
     "one_way_neighbors": one_way_neighbors,
     "hops_to_landmarks": hops_to_landmarks,
     "hops_to_two_landmarks": hops_to_two_landmarks,
+    "hops_resumed": hops_resumed,
     "hops_map": hops_map,
     "far_from_landmark": far_from_landmark,
     "link_lists": link_lists,
     "pagerank_contributions": pagerank_contributions,
     "pagerank": pagerank,
+    "pagerank_resumed": pagerank_resumed,
     "pagerank_lines": pagerank_lines,
     "grid_cells": grid_cells,
     "grid_push": grid_push,
@@ -419,5 +456,6 @@ QUERIES: dict[str, QueryFn] = {
     "close_pair_count": close_pair_count,
     "explode_tags": explode_tags,
     "sliding_tag_counts": sliding_tag_counts,
+    "sliding_tag_counts_panes": sliding_tag_counts_panes,
     "trending_tags": trending_tags,
 }

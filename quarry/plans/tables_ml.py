@@ -15,7 +15,9 @@ Mappings of the reference's inputs onto the driver tables:
   label "rich" / "other"; forest: orders with customer attributes, label =
   priority digit; both trained on a 70 % hash split of the key.
 
-A key fits its own model: no result depends on what ran before. What SQL can
+Forests come from a model store in the application's folder: the first key
+that needs one fits and saves it, the next ones load it (the fit depends on
+stages and data alone, so no result depends on what ran before). What SQL can
 say of a fitted model has keys of its own: ``logistic_score_equations`` (at
 the maximum the predicted sums equal the observed ones, feature by feature)
 and ``forest_label_totals`` (the confusion counts add up to the labels).
@@ -26,10 +28,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.ml import dictionary as D
 from quarry.ml import features as FE
 from quarry.ml import metrics as M
 from quarry.ml import models as MO
 from quarry.ml.split import hash_split, label_split
+from quarry.ml.store import load_model, stored_fit
+from quarry.session import app_path
 from quarry.sources.parquet import read_table
 
 # Fixed parameters of the catalogue.
@@ -66,6 +71,34 @@ def string_index_keep(spark, sf_dir):
     return out.select("p_partkey", "p_brand", "brand_idx")
 
 
+def dictionary_index(spark, sf_dir):
+    """The indices of ``string_index`` from the distributed dictionary."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    words = D.build_dictionary(c, "c_mktsegment")
+    return D.encode(c, "c_mktsegment", words, "seg_idx").withColumn("seg_idx", F.col("seg_idx").cast("double"))
+
+
+def dictionary_keep(spark, sf_dir):
+    """The indices of ``string_index_keep`` from the distributed dictionary."""
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    words = D.build_dictionary(p.filter(F.col("p_size") <= KEEP_FIT_MAX_SIZE), "p_brand")
+    out = D.encode(p, "p_brand", words, "brand_idx", unseen="keep")
+    return out.select("p_partkey", "p_brand", F.col("brand_idx").cast("double").alias("brand_idx"))
+
+
+def dictionary_many(spark, sf_dir):
+    """A dictionary of very many values: every order by the rank of its
+    customer (as text, by falling number of orders) and by that of its own
+    key's text, which no other order has."""
+    o = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer"), F.col("o_orderkey").cast("string").alias("number")
+    )
+    out = o
+    for column in ("customer", "number"):
+        out = D.encode(out, column, D.build_dictionary(o, column), f"{column}_idx")
+    return out.select("o_orderkey", "customer_idx", "number_idx")
+
+
 def one_hot(spark, sf_dir):
     idx = string_index(spark, sf_dir)
     enc = FE.one_hot(idx, "seg_idx", "seg_vec")
@@ -194,10 +227,55 @@ FOREST_COLUMNS = FE.Columns(one_hot=FOREST_CATS, scaled=FOREST_NUMS)
 
 
 def fit_forest(spark, sf_dir):
+    """The forest over the training split, from the application's model store:
+    fitted and saved where no version has the same stages and data, else loaded."""
     data = retail_frame(spark, sf_dir)
     train, _ = hash_split(data, ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
     pipeline = MO.forest_pipeline(FOREST_COLUMNS, "rating")
-    return MO.fit(pipeline, train, keys=["o_orderkey"], partitions=FOREST_PARTITIONS)
+    model, _ = stored_fit(
+        app_path(spark, "models/forest"), pipeline, train,
+        lambda: MO.fit(pipeline, train, keys=["o_orderkey"], partitions=FOREST_PARTITIONS),
+    )
+    return model
+
+
+def tree_frame(spark, sf_dir) -> DataFrame:
+    """Customers with two numbers and a label that depends on both: whether the
+    balance is above a level that differs by nation and by the key's last digit."""
+    digit = F.col("c_custkey") % 10
+    level = (
+        F.when((F.col("c_nationkey") < 12) & (digit < 4), 2000).when(F.col("c_nationkey") < 12, 6500)
+        .when(digit < 7, 8000).otherwise(3000)
+    )
+    return _t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("double").alias("nation"),
+        digit.cast("double").alias("digit"), (F.col("c_acctbal") > level).cast("double").alias("label"),
+    )
+
+
+TREE_COLUMNS = FE.Columns(plain=["nation", "digit"])
+
+
+def fit_tree(spark, sf_dir) -> tuple:
+    """(model, version, store) of a forest of one tree, two splits deep."""
+    train, _ = hash_split(tree_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
+    pipeline = MO.forest_pipeline(
+        TREE_COLUMNS, "label", num_trees=1, max_depth=2, bootstrap=False, feature_subset="all"
+    )
+    root = app_path(spark, "models/tree")
+    model, version = stored_fit(root, pipeline, train, lambda: MO.fit(pipeline, train))
+    return model, version, root
+
+
+def tree_predictions(spark, sf_dir):
+    """Test-split predictions of the two-level tree, scored by the model that
+    the store gives back: id, label, probability of class 1, prediction."""
+    _, version, root = fit_tree(spark, sf_dir)
+    _, test = hash_split(tree_frame(spark, sf_dir), ["id"], TRAIN_FRACTION, SPLIT_SEED)
+    p = F.get(FE.vector_to_array("probability"), 1)
+    return load_model(spark, root, version).transform(test).select(
+        "id", "label", F.round(p, METRIC_DIGITS).alias("p_1"), "prediction"
+    )
 
 
 def forest_model(spark, sf_dir):
@@ -230,6 +308,9 @@ QUERIES = {
     "bucketize": bucketize,
     "string_index": string_index,
     "string_index_keep": string_index_keep,
+    "dictionary_index": dictionary_index,
+    "dictionary_keep": dictionary_keep,
+    "dictionary_many": dictionary_many,
     "one_hot": one_hot,
     "assemble_features": assemble_features,
     "standard_scale": standard_scale,
@@ -242,6 +323,7 @@ QUERIES = {
     "forest_model": forest_model,
     "forest_metrics": forest_metrics,
     "forest_label_totals": forest_label_totals,
+    "tree_predictions": tree_predictions,
 }
 
 _CM = """
@@ -346,3 +428,56 @@ ORACLE_SQL = {
         "(SELECT SUM(neg) FROM g)), 9) AS auc FROM c"
     ),
 }
+ORACLE_SQL["dictionary_index"] = ORACLE_SQL["string_index"]
+ORACLE_SQL["dictionary_keep"] = ORACLE_SQL["string_index_keep"]
+ORACLE_SQL["dictionary_many"] = (
+    "WITH f AS (SELECT o_custkey::VARCHAR AS v, COUNT(*) AS n FROM orders GROUP BY 1), "
+    "ix AS (SELECT v, ROW_NUMBER() OVER (ORDER BY n DESC, v) - 1 AS i FROM f) "
+    "SELECT o_orderkey, i AS customer_idx, ROW_NUMBER() OVER (ORDER BY o_orderkey::VARCHAR) - 1 AS number_idx "
+    "FROM orders JOIN ix ON o_custkey::VARCHAR = v"
+)
+
+
+def _splits(level: int, rows: str) -> str:
+    """CTEs that split every node of ``rows`` (node, label, nation, digit) at
+    the threshold of least Gini impurity, as midpoints' left values."""
+    return f"""
+long{level} AS (
+  SELECT node, label, 0 AS f, nation AS x FROM {rows} UNION ALL SELECT node, label, 1, digit FROM {rows}),
+sums{level} AS (
+  SELECT node, f, x, SUM(COUNT(*)) OVER (PARTITION BY node, f ORDER BY x)::DOUBLE AS n, SUM(SUM(label)) OVER (PARTITION BY node, f ORDER BY x) AS p,
+    SUM(COUNT(*)) OVER (PARTITION BY node, f)::DOUBLE AS tn, SUM(SUM(label)) OVER (PARTITION BY node, f) AS tp
+  FROM long{level} GROUP BY node, f, x),
+best{level} AS (
+  SELECT node, f, x FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY node ORDER BY (p * p + (n - p) * (n - p)) / n
+      + ((tp - p) * (tp - p) + (tn - n - tp + p) * (tn - n - tp + p)) / (tn - n) DESC, f, x) AS r
+    FROM sums{level} WHERE n < tn) WHERE r = 1)"""
+
+
+# The two levels of best splits over the training rows. Two leaves of one
+# parent that predict the same class are one leaf in MLlib.
+TREE_SQL = f"""
+WITH t AS (
+  SELECT c_custkey AS id, c_nationkey::DOUBLE AS nation, (c_custkey % 10)::DOUBLE AS digit,
+    CASE WHEN c_acctbal > CASE WHEN c_nationkey < 12 AND c_custkey % 10 < 4 THEN 2000 WHEN c_nationkey < 12 THEN 6500
+                               WHEN c_custkey % 10 < 7 THEN 8000 ELSE 3000 END THEN 1.0 ELSE 0.0 END AS label,
+    {_sql_bucket("c_custkey")} < 7000 AS train
+  FROM customer),
+n0 AS (SELECT *, 0 AS node FROM t WHERE train), {_splits(1, "n0")},
+n1 AS (
+  SELECT t.id, t.nation, t.digit, t.label, t.train, CASE WHEN (CASE f WHEN 0 THEN nation ELSE digit END) <= b.x THEN 0 ELSE 1 END AS node
+  FROM t, best1 b),
+n1_train AS (SELECT * FROM n1 WHERE train), {_splits(2, "n1_train")},
+n2 AS (
+  SELECT n1.*, CASE WHEN (CASE f WHEN 0 THEN nation ELSE digit END) <= b.x THEN 0 ELSE 1 END AS side
+  FROM n1 JOIN best2 b USING (node)),
+leaf AS (SELECT node, side, AVG(label) AS p FROM n2 WHERE train GROUP BY node, side),
+inner_ AS (
+  SELECT n.node, n.p, l.same FROM (SELECT node, AVG(label) AS p FROM n2 WHERE train GROUP BY node) n
+  JOIN (SELECT node, COUNT(DISTINCT p > 0.5) = 1 AS same FROM leaf GROUP BY node) l USING (node)),
+scored AS (
+  SELECT id, label, CASE WHEN same THEN i.p ELSE l.p END AS p FROM n2 JOIN leaf l USING (node, side) JOIN inner_ i USING (node) WHERE NOT train)"""
+ORACLE_SQL["tree_predictions"] = (
+    f"{TREE_SQL} SELECT id, label, ROUND(p, 9) AS p_1, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM scored"
+)

@@ -16,14 +16,18 @@ from pyspark.sql import functions as F
 from quarry.ml.split import hash_split
 from quarry.operators.trends import flatten_window
 from quarry.plans.tables import TREND_MIN_COUNT, tagged_events
-from quarry.plans.tables_ml import SPLIT_SEED, TRAIN_FRACTION, fit_forest, retail_frame
+from quarry.ml.store import load_model
+from quarry.plans.tables_ml import (
+    SPLIT_SEED, TRAIN_FRACTION, TREE_SQL, fit_forest, fit_tree, retail_frame, tree_frame,
+)
 from quarry.session import scratch_path
 from quarry.sources.parquet import read_table
 from quarry.sources.sinks import write_n_files, write_partitioned
-from quarry.streaming.scoring import metrics_per_batch
-from quarry.streaming.sinks import read_sink, result_table, run_available, start_append
+from quarry.streaming.scoring import confusion_per_batch, metrics_per_batch
+from quarry.streaming.sinks import read_sink, result_table, run_available, start_append, start_update
 from quarry.streaming.sources import csv_stream, parquet_stream
 from quarry.streaming.trends import trending_tags_stream
+from quarry.streaming.upsert import upsert_sink
 
 # Fixed parameters of the streaming catalogue.
 WINDOW = "60 minutes"
@@ -114,6 +118,54 @@ def stream_late_data(spark, sf_dir):
     return res.select("window_start", "window_end", "tag", "tag_count")
 
 
+def stream_updates(spark, sf_dir):
+    """Update-mode trend counts upserted into a table: the events arrive in
+    blocks of event time, each batch emits the (window, tag) counts that
+    changed, and the table holds the last one of each."""
+    events = staged_events(spark, sf_dir)
+    on_time = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / BLOCK_SECONDS).cast("long")
+    stage_dir, src_dir = scratch_path(spark, "update-stage"), scratch_path(spark, "update-src")
+    staged = events.withColumn("arrival", on_time)
+    write_partitioned(staged, stage_dir, ["arrival"])
+    stage = spark.read.schema(staged.schema).parquet(stage_dir)
+    stage.limit(0).drop("arrival").write.parquet(src_dir)
+    stream = _tag_stream(parquet_stream(spark, src_dir, staged.drop("arrival").schema))
+    trend = trending_tags_stream(stream, "ts", "tag", TREND_MIN_COUNT, WINDOW, SLIDE, WATERMARK, "tag_count")
+    keys = ["window_start", "window_end", "tag"]
+    table, take = upsert_sink(
+        spark, scratch_path(spark, "trend-table"), keys, flatten_window, flatten_window(trend).schema, compact_every=4
+    )
+    first, last = stage.agg(F.min("arrival"), F.max("arrival")).first()
+    query = start_update(trend, take)
+    try:
+        for block in range(first, last + 1) if first is not None else ():
+            stage.filter(F.col("arrival") == block).drop("arrival").write.mode("append").parquet(src_dir)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    return table.read()
+
+
+def tree_stream(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The tree's test split and a stream of it, staged as 20 files."""
+    data = tree_frame(spark, sf_dir)
+    _, test = hash_split(data, ["id"], TRAIN_FRACTION, SPLIT_SEED)
+    src_dir = scratch_path(spark, "tree-src")
+    write_n_files(test, src_dir, n_files=STREAM_FILES, fmt="parquet", keys=["id"])
+    return test, parquet_stream(spark, src_dir, data.schema, max_files_per_trigger=FILES_PER_TRIGGER)
+
+
+def stream_tree_confusion(spark, sf_dir):
+    """Every batch scored with a saved version of the two-level tree; the
+    batches' confusion counts, summed."""
+    _, version, root = fit_tree(spark, sf_dir)
+    _, stream = tree_stream(spark, sf_dir)
+    out = scratch_path(spark, "tree-confusion")
+    run_available(stream, "append", foreach_batch=confusion_per_batch(load_model(spark, root, version), out, "label"))
+    counts = spark.read.schema("label double, prediction double, n long").parquet(os.path.join(out, "batch_id=*"))
+    return counts.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+
+
 def stream_batch_metrics(spark, sf_dir):
     """Fit the forest on the training split, stage the test split as 20
     Parquet files by a hash of the key, stream them five files per batch and
@@ -138,6 +190,8 @@ def stream_batch_metrics(spark, sf_dir):
 QUERIES = {
     "stream_trending_tags": stream_trending_tags,
     "stream_late_data": stream_late_data,
+    "stream_updates": stream_updates,
+    "stream_tree_confusion": stream_tree_confusion,
     "stream_batch_metrics": stream_batch_metrics,
 }
 
@@ -168,3 +222,6 @@ SELECT window_start, window_end, tag, tag_count FROM w
 WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 24 HOUR
 """,
 }
+ORACLE_SQL["stream_tree_confusion"] = (
+    f"{TREE_SQL} SELECT label, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction, COUNT(*) AS n FROM scored GROUP BY ALL"
+)

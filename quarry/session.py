@@ -11,6 +11,7 @@ exit. Intermediate data lies in one folder per application, which
 from __future__ import annotations
 
 import atexit
+import hashlib
 import shutil
 import tempfile
 import uuid
@@ -103,12 +104,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def app_path(spark: SparkSession, name: str) -> str:
+    """A fixed path in the application's folder under the shared checkpoint
+    directory, for what several queries of one application share."""
+    return f"{_scratch_root(spark)}/{name}"
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder of any file system that Spark knows."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def child_names(spark: SparkSession, pattern: str, up: int = 0) -> list[str]:
+    """Names of the paths that match a glob, of any file system that Spark
+    knows; with ``up`` the names of their parents that many levels above."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    names = []
+    for status in found or []:
+        at = status.getPath()
+        for _ in range(up):
+            at = at.getParent()
+        names.append(at.getName())
+    return names
+
+
+def data_digest(df: DataFrame) -> str:
+    """A digest of the plan of ``df`` and of the files it reads, with their
+    sizes and times: equal for the same query over unchanged files."""
+    spark = df.sparkSession
+    files = []
+    for name in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        files.append((name, status.getLen(), status.getModificationTime()))
+    return hashlib.sha256(repr((df.semanticHash(), files)).encode()).hexdigest()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables. DataFrames that operators
     returned read from them, so call it when those are no longer needed."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from quarry.ml.metrics import class_metrics
+from quarry.ml.metrics import class_metrics, confusion
 
 
 def metrics_per_batch(
@@ -29,3 +29,15 @@ def metrics_per_batch(
         m.write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
 
     return handle
+
+
+def confusion_per_batch(model: PipelineModel | None, path: str, label_col: str, prediction_col: str = "prediction"):
+    """A ``foreachBatch`` function: each batch's counts ``(label, prediction,
+    n)`` to ``path/batch_id=<id>`` with overwrite, so a replayed batch replaces
+    its own. The counts of several batches add up, their metrics don't."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        preds = model.transform(batch) if model is not None else batch
+        confusion(preds, label_col, prediction_col).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return handle

@@ -86,6 +86,16 @@ def start_append(stream: DataFrame, sink_path: str, checkpoint: str | None = Non
     return writer.format("parquet").option("path", sink_path).start()
 
 
+def start_update(
+    stream: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str | None = None
+) -> StreamingQuery:
+    """A running update query into a ``foreachBatch`` function, such as that of
+    an upsert table; the caller feeds its source and stops it."""
+    checkpoint = checkpoint or scratch_path(stream.sparkSession, "stream-ckpt")
+    writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(take).start()
+
+
 def read_sink(spark: SparkSession, sink_path: str, schema=None) -> DataFrame:
     r = spark.read
     if schema is not None:

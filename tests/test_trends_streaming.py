@@ -2,6 +2,8 @@ import datetime as dt
 import os
 import time
 
+import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import trends as T
 from quarry.plans import tables as TB
@@ -147,3 +149,27 @@ def test_forest_scores_every_batch(spark):
 
     rows = TS.stream_batch_metrics(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 4 and all(0 < r.accuracy <= 1 for r in rows)
+
+
+@pytest.mark.parametrize("length, slide", [("60 minutes", "30 minutes"), ("60 minutes", "60 minutes"), ("90 minutes", "60 minutes"), ("7 hours", "2 hours")])
+def test_panes_equal_windows(spark, length, slide):
+    events = T.explode_tags(TB.tagged_events(spark, SF_SMALL), "tags", keep=["ts"])
+    events = events.unionByName(events.limit(1).withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    rows = lambda df: sorted(tuple(r) for r in T.flatten_window(df).collect())
+    assert rows(T.pane_counts(events, "ts", "tags", length, slide)) == rows(T.windowed_counts(events, "ts", "tags", length, slide))
+    with pytest.raises(ValueError):
+        T.pane_counts(events, "ts", "tags", "30 minutes", "60 minutes")
+
+
+def test_panes_don_t_multiply_rows(spark):
+    """With a window of 24 slides each row is grouped once, not 24 times: no
+    Expand in front of the first exchange."""
+    events = T.explode_tags(TB.tagged_events(spark, SF_SMALL), "tags", keep=["ts"])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan(T.windowed_counts(events, "ts", "tags", "24 hours", "1 hour"))
+    panes = T.pane_counts(events, "ts", "tags", "24 hours", "1 hour")
+    assert "Expand" not in plan(panes)
+    # the rows that the second exchange gets are pane counts, at most a row per pane and tag and window
+    n = events.count()
+    assert T.pane_counts(events.union(events).union(events), "ts", "tags", "24 hours", "1 hour").count() == panes.count()
+    assert panes.agg(F.sum("Count")).first()[0] == 24 * n
