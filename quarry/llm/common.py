@@ -19,6 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """All columns as one struct ``row``, so that no working column can meet
+    the name of one of them, and ``more``."""
+    columns = [F.col(f"`{n.replace('`', '``')}`") for n in df.columns]
+    return df.select(F.struct(*columns).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
+def unpacked(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``row`` again, those of ``changed`` with new values. These
+    are computed first: in one select, names inside lambdas would mean the
+    select's own columns."""
+    new = {n: f"changed_{i}" for i, n in enumerate(changed)}
+    if new:
+        df = df.withColumns({new[n]: c for n, c in changed.items()})
+    return df.select(*[(F.col(new[n]) if n in new else F.col("row").getField(n)).alias(n) for n in names])
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, where all executors see
     it (a private one only where the setting is missing, in local mode)."""

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE, hash_unit, word_count, written
+from quarry.llm.common import SPACE, hash_unit, packed, unpacked, word_count, written
 
 WEIGHTS = (5, 2, 1)  #: fixed values: repeating over the sources in order
 REPEATS = 3  #: a source gives at most so many times its size
@@ -134,26 +134,34 @@ def mix(
     )
 
 
-def repeat_rows(docs: DataFrame, text: str = "text", chars: str = "n_chars", **mix_options) -> DataFrame:
+def repeat_rows(
+    docs: DataFrame, text: str = "text", chars: str = "n_chars", key: str = "doc_id", source: str = "source", **mix_options
+) -> DataFrame:
     """The mixed corpus: each row as often as the mix takes it whole, then
-    once more cut to the words left over; rows taken 0 times go. Same columns;
-    ``chars``, if there, counts the new text's code points."""
+    once more cut to the words left over; rows taken 0 times go (null, empty
+    and blank texts among them). Same columns, whatever their names; ``chars``,
+    if there, counts a cut text's code points. Repeated rows are rows of their
+    own; an empty table stays empty."""
     names = docs.columns
-    base = written(docs.withColumn("_at", F.monotonically_increasing_id()), "mix-docs")
-    per = mix(base, text=text, row="_at", **mix_options).where("taken > 0")
-    per = per.select(F.col("row").alias("_row"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    copies = F.ceil(F.col("_taken") / F.col("_size")).cast("int")
+    base = written(packed(docs, at=F.monotonically_increasing_id()), "mix-docs")
+    field = F.col("row").getField
+    plain = base.select(field(key).alias("doc_id"), field(source).alias("source"), field(text).alias("text"), "at")
+    per = mix(plain, row="at", **mix_options).where("taken > 0")
+    per = per.select(F.col("row").alias("of"), "size", "taken")
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
     df = (
-        base.join(per, F.col("_at") == F.col("_row"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-        .withColumn("_n", F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")))
+        base.join(per, F.col("at") == F.col("of"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+        .withColumn("n", F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size")))
     )
-    pieces = F.regexp_extract_all(F.col(text), F.lit(rf"[{SPACE}]*+[^{SPACE}]++"), F.lit(0))
-    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_n").cast("int")), "")
-    df = df.withColumn(text, F.when(F.col("_n") < F.col("_size"), cut).otherwise(F.col(text)))
+    pieces = F.regexp_extract_all(field(text), F.lit(rf"[{SPACE}]*+[^{SPACE}]++"), F.lit(0))
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("n").cast("int")), "")
+    short = F.col("n") < F.col("size")
+    df = df.withColumn("body", F.when(short, cut).otherwise(field(text)))
+    changed = {text: F.col("body")}
     if chars in names:
-        df = df.withColumn(chars, F.when(F.col("_n") < F.col("_size"), F.length(text).cast(docs.schema[chars].dataType)).otherwise(F.col(chars)))
-    return df.select(*names)
+        changed[chars] = F.when(short, F.length("body").cast(docs.schema[chars].dataType)).otherwise(field(chars))
+    return unpacked(df, names, **changed)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.arrow import apply_groups, map_batches
-from quarry.llm.common import shared_dir, shuffle_width, written
+from quarry.llm.common import packed, shared_dir, shuffle_width, unpacked, written
 from quarry.llm.components import connected_components
 from quarry.llm.store import Shards, save, shard_bits
 from quarry.llm.tokens import documents, mix
@@ -338,15 +338,18 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (null
-    ids last; of rows with that id, the first read). Same columns. The rows
+    ids last; of rows with that id, the first read). Texts without words link
+    with nothing, so all such rows stay. Same columns, whatever their names; an
+    empty table stays empty. The rows
     that go are written as sorted arrays, which the workers map, so the texts
     are not shuffled."""
     spark = docs.sparkSession
-    base = written(docs.withColumn("_at", F.monotonically_increasing_id()), "join-rows")
-    joined = join(base.select("_at", text), "_at", text).select(F.col("doc_id").alias("_row"), "component_id")
-    ids = base.select("_at", F.col(key).alias("_id"))
-    rank = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_at").alias("at"))
-    grouped = written(joined.join(ids, F.col("_row") == F.col("_at")).select("component_id", rank.alias("rank")), "join-rank")
+    base = written(packed(docs, at=F.monotonically_increasing_id()), "join-rows")
+    field = F.col("row").getField
+    joined = join(base.select("at", field(text).alias("text")), "at", "text").select(F.col("doc_id").alias("of"), "component_id")
+    ids = base.select("at", field(key).alias("id"))
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "at")
+    grouped = written(joined.join(ids, F.col("of") == F.col("at")).select("component_id", rank.alias("rank")), "join-rank")
     stay = grouped.groupBy(F.col("component_id").alias("_c")).agg(F.min("rank").alias("first"))
     # Written, so that the join has two plain shuffles and a hot group is split.
     gone = grouped.join(written(stay, "join-first"), F.col("component_id") == F.col("_c")).where(F.col("rank.at") != F.col("first.at"))
@@ -368,7 +371,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         return {"shard": [shard]}
 
     written(apply_groups(map_batches(keys, deal, "key long, shard int"), ["shard"], write, "shard int"), "join-gone-shards")
-    at = base.columns.index("_at")
+    at = base.columns.index("at")
 
     def keep(batches) -> Iterator[pa.RecordBatch]:
         shards = Shards(folder, bits, "gone")
@@ -379,7 +382,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             hit[order] = shards.find(k[order])[0]
             yield b.filter(pa.array(~hit))
 
-    return map_batches(base, keep, base.schema).select(*docs.columns)
+    return unpacked(map_batches(base, keep, base.schema), docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:

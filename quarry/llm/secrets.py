@@ -4,24 +4,34 @@ Method: every candidate string (a maximal run of a character class, at least
 one window long) gets the Shannon entropy of each window of ``window``
 characters. The counts of a window are updated from the window before it: the
 entering character adds one, the leaving one takes one, and the sum of
-``c * log2 c`` changes by those two terms alone. A candidate whose highest
-window reaches its class's threshold is a span of kind ``entropy``, unless an
-allow-list pattern matches it. Built-in functions only; no shuffle: one pass
-over the texts, each row by itself.
+``c * log2 c`` changes by those two terms alone. The counts are five bits each,
+twelve in a long, so a step costs the same for any class. A candidate whose
+highest window reaches its class's threshold is a span of kind ``entropy``,
+unless the allow-list holds for all of it. Built-in functions only; no shuffle:
+one pass over the texts, each row by itself.
+
+The allow-list takes a run apart at its signs and looks at every piece with
+patterns that are one class after the other: Java runs nested groups by
+recursion, which a long run would exhaust.
 
 Defined cases: a null text is empty (no spans); empty texts have no spans;
 null or repeated doc_ids, ties and further columns (clashing names included)
-pass through, as every row is handled alone; an empty table gives an empty
-result. Nothing is cut, whatever a text's length.
+pass through, as every row is handled alone (:func:`scan` replaces columns
+named ``base_spans`` and ``secret_spans``, :func:`redact` leaves them as they
+are); an empty table gives an empty result. Nothing is cut, whatever a text's
+length.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import packed, unpacked
 from quarry.llm.spans import NONE, Kind, joined, ordered, with_spans
 
 #: The base formats. Possessive quantifiers; a run's inner
@@ -52,53 +62,86 @@ CLASSES = (
     CharClass("upper", "A-Z0-9", 3.34, ("[0-9]", "[A-Z]")),
     CharClass("base64", "A-Za-z0-9+/=_-", 3.6, ("[0-9]", "[a-z]", "[A-Z]")),
 )
-_WORD = "(?:[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[A-Z]{2,})[0-9]{0,4}|[0-9]{1,4}"
-#: Candidates of these forms are not secrets: words (camel case, up to four
-#: digits behind) alone or between signs, UUIDs, alphabets and digits in order,
-#: placeholders.
-ALLOW = (
-    f"^[+/=_-]*(?:{_WORD})(?:[+/=_-]+(?:{_WORD}))*[+/=_-]*$",
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)abcdefghijklmnop|0123456789abcdef",
-    r"(?i)example|placeholder|xxxxxxxx",
+#: What may stand between the pieces of a run, and sequences
+#: that alphabets consist of.
+SIGNS = "[+/=_-]"
+ALPHABETS = (
+    "abcdefghijklmnopqrstuvwxyz|ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "0123456789abcdef|0123456789ABCDEF|0123456789|abcdefghijklmnop|ABCDEFGHIJKLMNOP|" + SIGNS,
 )
+UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+PLACEHOLDER = "EXAMPLE(?:KEY)?$"
+
+
+def is_word(piece: Column) -> Column:
+    """A word, camel case included, with up to four digits behind it: capitals
+    only, or letters whose capitals all have a small letter behind them; or up
+    to four digits alone."""
+    return (
+        piece.rlike("^[0-9]{0,4}$") | piece.rlike("^[A-Z]{2,}+[0-9]{0,4}$")
+        | (piece.rlike("^[A-Za-z]++[0-9]{0,4}$") & ~piece.rlike("[A-Z](?![a-z])"))
+    )
+
+
+def allowed(value: Column) -> Column:
+    """No secret: words alone or between signs, UUIDs, alphabets in order, and
+    what documentation marks as an example at its end."""
+    rest = value
+    for sequences in ALPHABETS:
+        rest = F.regexp_replace(rest, sequences, "")
+    return F.forall(F.split(value, f"{SIGNS}++"), is_word) | value.rlike(UUID) | value.rlike(PLACEHOLDER) | (rest == "")
+
+
+_SLOTS, _BITS, _LONGS = 12, 5, 8  # counts in a long, bits of a count, longs for the characters from blank to ~
+#: What a count's step from c to c + 1 adds to the sum of c * log2 c.
+_STEPS = [(c + 1) * log2(c + 1) - (c * log2(c) if c else 0.0) for c in range((1 << _BITS) - 1)]
 
 
 def entropy(value: Column, window: int = WINDOW) -> Column:
-    """Highest Shannon entropy (bits) of any window of ASCII ``value``; -1
-    where it is shorter than one window."""
-    codes = F.transform(F.split(value, ""), lambda c: F.ascii(c))
-    leaving = F.concat(F.array_repeat(F.lit(-1), window), F.slice(codes, F.lit(1), F.greatest(F.size(codes) - window, F.lit(0))))
-    pairs = F.zip_with(codes, leaving, lambda x, y: F.struct(x.alias("came"), y.alias("went")))
-    pairs = F.slice(pairs, F.lit(1), F.length(value))
-    term = lambda c: F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
+    """Highest Shannon entropy (bits) of any window of printable ASCII
+    ``value``, windows of up to 31 characters; -1 where it is shorter than one
+    window."""
+    if not 0 < window < 1 << _BITS:
+        raise ValueError(f"a window has 1 to {(1 << _BITS) - 1} characters, not {window}")
+    steps = F.array(*map(F.lit, _STEPS))
+    slots = F.transform(F.split(value, ""), lambda c: F.ascii(c) - 32)
+    leaving = F.concat(F.array_repeat(F.lit(None).cast("int"), window), F.slice(slots, F.lit(1), F.greatest(F.size(slots) - window, F.lit(0))))
+    pairs = F.slice(F.zip_with(slots, leaving, lambda x, y: F.struct(x.alias("came"), y.alias("went"))), F.lit(1), F.length(value))
     start = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"),
-        F.lit(0).alias("n"), F.lit(-1.0).alias("best"),
+        F.array_repeat(F.lit(0).cast("long"), _LONGS).alias("counts"), F.lit(0.0).alias("sum"),
+        F.lit(0).alias("n"), F.lit(float("inf")).alias("least"),
     )
+    word = lambda slot: F.floor(slot / _SLOTS).cast("int")
+    shift = lambda slot: F.pmod(slot, F.lit(_SLOTS)) * _BITS
+    shifted = lambda side, number, slot: F.call_function(f"shift{side}", number, shift(slot))
+    one = F.lit(1).cast("long")
+
+    def count(acc: Column, slot: Column) -> Column:
+        return shifted("right", F.element_at(acc["counts"], word(slot) + 1), slot).bitwiseAND((1 << _BITS) - 1).cast("int")
 
     def step(acc: Column, p: Column) -> Column:
         came, went = p["came"], p["went"]
-        counts = F.transform(
-            acc["counts"],
-            lambda c, i: c + F.when(i == came, 1).otherwise(0) - F.when(i == went, 1).otherwise(0),
-        )
-        c_in = F.element_at(acc["counts"], came + 1)
-        c_out = F.when(went >= 0, F.element_at(acc["counts"], went + 1)).otherwise(F.lit(0))
-        gain = term(c_in + 1) - term(c_in)
-        loss = F.when(went >= 0, term(c_out) - term(c_out - 1)).otherwise(F.lit(0.0))
-        total = acc["sum"] + F.when(came == went, F.lit(0.0)).otherwise(gain - loss)
+        counts = F.transform(acc["counts"], lambda c, i: (
+            c + F.when(i == word(came), shifted("left", one, came)).otherwise(F.lit(0))
+            - F.when(i == word(went), shifted("left", one, went)).otherwise(F.lit(0))
+        ))
+        gain = F.element_at(steps, count(acc, came) + 1)
+        loss = F.when(went.isNotNull(), F.element_at(steps, count(acc, went))).otherwise(F.lit(0.0))
+        total = acc["sum"] + F.when(came.eqNullSafe(went), F.lit(0.0)).otherwise(gain - loss)
         n = acc["n"] + 1
-        bits = F.log2(F.lit(float(window))) - total / window
         return F.struct(
             counts.alias("counts"), total.alias("sum"), n.alias("n"),
-            F.when(n >= window, F.greatest(acc["best"], bits)).otherwise(acc["best"]).alias("best"),
+            F.when(n >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"),
         )
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["best"])
+    # The fewer repeats, the more bits.
+    return F.aggregate(
+        pairs, start, step,
+        lambda acc: F.when(acc["n"] >= window, log2(window) - acc["least"] / window).otherwise(F.lit(-1.0)),
+    )
 
 
-def _kinds(window: int, classes: tuple[CharClass, ...], allow: tuple[str, ...]) -> list[Kind]:
+def _kinds(window: int, classes: tuple[CharClass, ...], allow: Callable[[Column], Column]) -> list[Kind]:
     yes = lambda text: text.isNotNull()
     kinds = [
         Kind("assign", ASSIGN, lambda t: t.contains("=") | t.contains(":"),
@@ -108,11 +151,9 @@ def _kinds(window: int, classes: tuple[CharClass, ...], allow: tuple[str, ...])
     ]
     for c in classes:
         def keep(v: Column, c: CharClass = c) -> Column:
-            ok = F.lit(True)
+            ok = ~allow(v)
             for needed in c.needs:
-                ok = ok & v.rlike(needed)
-            for pattern in allow:
-                ok = ok & ~v.rlike(pattern)
+                ok = v.rlike(needed) & ok
             return F.when(ok, entropy(v, window) >= c.bits).otherwise(F.lit(False))
 
         run = f"(?<![{c.chars}])[{c.chars}]{{{window},}}+"
@@ -120,40 +161,52 @@ def _kinds(window: int, classes: tuple[CharClass, ...], allow: tuple[str, ...])
     return kinds
 
 
-def scan(
-    docs: DataFrame, text: str = "text", window: int = WINDOW,
-    classes: tuple[CharClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW,
+def _scanned(
+    docs: DataFrame, text: str, window: int = WINDOW,
+    classes: tuple[CharClass, ...] = CLASSES, allow: Callable[[Column], Column] = allowed,
 ) -> DataFrame:
-    """``docs`` with ``base_spans`` and ``secret_spans`` (base and entropy),
-    arrays of struct(kind, start, end, value, before, after) by start, then
-    kind; an entropy span equal in place to a base span is not repeated."""
+    """(row, base_spans, secret_spans): the columns of ``docs`` in ``row``."""
     kinds = _kinds(window, classes, allow)
-    names = [c for c in docs.columns if c not in ("base_spans", "secret_spans")]
-    df = with_spans(docs.select(*names, F.col(text).alias("_text")), "_text", kinds)
+    df = packed(docs)
+    df = with_spans(df.withColumn("text", F.col("row").getField(text)), "text", kinds)
     base = F.concat(*[F.col(f"_{k}") for k in BASE])
     extra = F.transform(
         F.concat(*[F.col(f"_{k.name}") for k in kinds[len(BASE):]]),
         lambda s: s.withField("kind", F.lit("entropy")),
     )
-    df = df.withColumn("_base", base).withColumn("_extra", F.array_distinct(extra))
-    places = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    df = df.withColumn("_places", places).withColumn("_extra", F.when(
-        F.size("_extra") > 0,
-        F.filter("_extra", lambda s: ~F.array_contains(
-            F.col("_places"), F.struct(s["start"].alias("start"), s["end"].alias("end"))
+    df = df.withColumn("base", base).withColumn("extra", extra)
+    places = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    df = df.withColumn("places", places).withColumn("extra", F.when(
+        F.size("extra") > 0,
+        F.filter("extra", lambda s: ~F.array_contains(
+            F.col("places"), F.struct(s["start"].alias("start"), s["end"].alias("end"))
         )),
     ).otherwise(F.array().cast(NONE)))
+    df = df.withColumn("all", ordered(F.concat("base", "extra"), KINDS, False))
+
+    def first_of_its_place(s: Column, i: Column) -> Column:
+        # Classes overlap, so two of them may have found the same run.
+        other = F.get(F.col("all"), i - 1)
+        return (i == 0) | (other["kind"] != s["kind"]) | (other["start"] != s["start"]) | (other["end"] != s["end"])
+
     return df.select(
-        *names, ordered(F.col("_base"), KINDS, False).alias("base_spans"),
-        ordered(F.concat("_base", "_extra"), KINDS, False).alias("secret_spans"),
+        "row", ordered(F.col("base"), KINDS, False).alias("base_spans"), F.filter("all", first_of_its_place).alias("secret_spans")
     )
 
 
-def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", **scan_options) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` with ``base_spans`` and ``secret_spans`` (base and entropy),
+    arrays of struct(kind, start, end, value, before, after) by start, then
+    kind; an entropy span equal in place to a base span is not repeated."""
+    names = [c for c in docs.columns if c not in ("base_spans", "secret_spans")]
+    df = _scanned(docs, text, **options)
+    return df.select(*[F.col("row").getField(n).alias(n) for n in names], "base_spans", "secret_spans")
+
+
+def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with every span of :func:`scan` replaced by ``mask`` (spans
     that touch or overlap become one); same columns, null texts stay null."""
-    names = docs.columns
-    df = scan(docs, text, **scan_options)
+    df = _scanned(docs, text, **options).withColumn("body", F.col("row").getField(text))
     start = F.struct(
         F.lit(0).alias("done"), F.array().cast("array<struct<a:int,b:int>>").alias("out")
     )
@@ -167,16 +220,16 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", **scan_o
             )).alias("out"),
         ),
     )
-    df = df.withColumn("_merged", F.when(F.size("secret_spans") > 0, merged))
+    df = df.withColumn("merged", F.when(F.size("secret_spans") > 0, merged))
     pieces = F.transform(
-        F.col("_merged.out"),
-        lambda p: F.concat(F.substring(F.col(text), p["a"] + 1, p["b"] - p["a"]), F.lit(mask)),
+        F.col("merged.out"),
+        lambda p: F.concat(F.substring(F.col("body"), p["a"] + 1, p["b"] - p["a"]), F.lit(mask)),
     )
-    tail = F.substring(F.col(text), F.col("_merged.done") + 1, F.length(text))
-    clean = F.when(F.col("_merged").isNull(), F.col(text)).otherwise(
+    tail = F.substring(F.col("body"), F.col("merged.done") + 1, F.length("body"))
+    clean = F.when(F.col("merged").isNull(), F.col("body")).otherwise(
         F.concat(F.array_join(pieces, ""), tail)
     )
-    return df.withColumn(text, clean).select(*names)
+    return unpacked(df, docs.columns, **{text: clean})
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -203,21 +256,28 @@ def _sql_matches(kind: str, pattern: str, keep: str) -> str:
 
 
 _ASSIGN_SQL = r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
-_ENTROPY_SQL = (
-    "list_max(list_transform(range(1, len(m) - 18), lambda i: "
-    "list_aggregate(string_split(substr(m, i, 20), ''), 'entropy'))) >= {bits} "
-    "AND NOT regexp_matches(m, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$') "
-    "AND NOT regexp_matches(m, '(?i)abcdefghijklmnop|0123456789abcdef|example|placeholder|xxxxxxxx')"
-)
+_PIECE = "[A-Z]{2,}[0-9]{0,4}|[0-9]{0,4}|[A-Z]?[a-z]+([A-Z][a-z]+)*[0-9]{0,4}"
+
+
+def _entropy_sql(c: CharClass) -> str:
+    rules = [
+        *[f"regexp_matches(m, '{n}')" for n in c.needs],
+        f"NOT regexp_full_match(m, '({_PIECE})([+/=_-]+({_PIECE}))*')",
+        f"NOT regexp_matches(m, '{UUID}')", f"NOT regexp_matches(m, '{PLACEHOLDER}')",
+        f"regexp_replace(regexp_replace(m, '{ALPHABETS[0]}', '', 'g'), '{ALPHABETS[1]}', '', 'g') <> ''",
+        f"list_max(list_transform(range(1, len(m) - {WINDOW - 2}), lambda i: "
+        f"list_aggregate(string_split(substr(m, i, {WINDOW}), ''), 'entropy'))) >= {c.bits}",
+    ]
+    return _sql_matches(c.name, f"[{c.chars}]{{{WINDOW},}}", " AND ".join(rules))
+
+
 ORACLE_SQL = (
     "WITH docs AS (SELECT doc_id, row_number() OVER () AS rn, coalesce(text, '') AS text FROM documents), base AS ("
     + _sql_matches("assign", _ASSIGN_SQL, r"len(regexp_extract(m, '[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6")
     + " UNION ALL " + _sql_matches("access", "AKIA[A-Z0-9]+", "len(m) >= 20")
     + " UNION ALL " + _sql_matches("hex", "[0-9a-f]+", "len(m) >= 24")
     + "), found AS (SELECT DISTINCT doc_id, rn, 'entropy' AS kind, start, stop FROM ("
-    + _sql_matches("hex", "[0-9a-fA-F]{20,}", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-fA-F]') AND " + _ENTROPY_SQL.format(bits=3.0))
-    + " UNION ALL "
-    + _sql_matches("base64", "[A-Za-z0-9+/=_-]{20,}", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND " + _ENTROPY_SQL.format(bits=3.9))
+    + " UNION ALL ".join(map(_entropy_sql, CLASSES))
     + """)), spans AS (
   SELECT doc_id, rn, kind, start, stop FROM base UNION ALL
   SELECT * FROM found f WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rn = f.rn AND b.start = f.start AND b.stop = f.stop)),

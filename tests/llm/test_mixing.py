@@ -71,3 +71,12 @@ def test_repeated_rows_hold_the_words_taken(spark):
         assert text[r["doc_id"]].startswith(r["text"])
         if r["text"] != text[r["doc_id"]]:
             assert r["n_chars"] == len(r["text"])
+
+
+def test_rows_of_any_column_names(spark):
+    names = ["_at", "_n", "_row", "_copy", "row", "at", "of", "size", "taken", "copy", "n", "body", "a.b", "doc_id", "source", "text", "n_chars"]
+    rows = [(*[f"v{i}{j}" for j in range(len(names) - 4)], i, "s" if i % 3 else "t", "a b c d", 7) for i in range(9)]
+    df = spark.createDataFrame(rows, [f"c{i}" for i in range(len(names))]).toDF(*names)
+    out = mixing.repeat_rows(df)
+    assert out.columns == names
+    assert {tuple(r)[:-4] for r in out.collect()} <= {r[:-4] for r in rows}
