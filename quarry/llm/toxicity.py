@@ -7,14 +7,18 @@ kept, each worth its ratio, and a logistic regression is fitted on them.
 Scoring is one pass over the texts: a dense table of ratio times weight, looked
 up for every n-gram, summed over a document's different features.
 
-The fit reads a bounded sample of the labelled rows (``max_rows``, lowest
-hashes of doc_id) and keeps ``max_features`` features, so model and sample
-have the same size at any corpus size; every text is scored whole.
+The fit reads a bounded sample of the labelled rows: at most ``max_rows`` ids
+(lowest hashes of doc_id) and one row of each, so neither many labels nor an id
+that many rows share makes it larger. It keeps ``max_features`` features, so
+model and sample have the same size at any corpus size; every text is scored
+whole.
 
 Defined cases: null and empty texts get the score of a text without features;
 rows without label, or with null labels or ids, are not learnt from; a doc_id
-with several labels counts as its highest; without labels of both classes the
-score is the share of label 1 (0 if there are none); a null doc_id is not
+with several labels counts as its highest, one with several rows is learnt
+from once (the row whose text has the lowest hash); equal rows get equal
+scores, ties at the threshold count as toxic; without labels of both classes
+the score is the share of label 1 (0 if there are none); a null doc_id is not
 held out; empty tables give empty results; further columns are not read.
 """
 
@@ -27,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.arrow import map_batches, texts
+from quarry.llm.common import written
 
 SIZES = (4, 5)  #: lengths of the n-grams
 BITS = 22
@@ -128,10 +133,16 @@ def train(
         .groupBy("_k").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("_k"), "_k").limit(max_rows)
     )
-    # Broadcast: at most max_rows rows of (id, label).
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(
+    # Broadcast: at most max_rows rows of (id, label). One row per id, whatever
+    # the table repeats; written once, as the steps below read it three times.
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(key).alias("_id"), F.struct(F.xxhash64(body).alias("h"), body.alias("text")).alias("_text")).join(
         F.broadcast(sample), F.col("_id") == F.col("_k")
-    ).select("_text", "toxic")
+    )
+    rows = written(
+        rows.groupBy("_id").agg(F.min("_text").alias("_text"), F.max("toxic").alias("toxic")).select("_text.text", "toxic"),
+        "toxicity-sample",
+    )
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     empty = {"at": np.empty(0, np.int64), "weight": np.empty(0, np.float32)}
@@ -176,7 +187,9 @@ def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text",
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects; same columns."""
+    """``docs`` without the rows that the classifier rejects; same columns,
+    whatever their names. Null and empty texts, repeated rows and null ids are
+    judged by their own score; an empty table stays empty."""
     names = docs.columns
     model = train(docs, labels, text=text)
     at, weight, bias = model["at"], model["weight"], model["bias"]

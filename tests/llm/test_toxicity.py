@@ -93,3 +93,42 @@ def test_accuracy_on_the_given_labels(spark):
     hit = sum(r["predicted"] and r["toxic"] for r in out)
     assert hit >= 0.8 * sum(r["toxic"] for r in out)
     assert sum(r["predicted"] and not r["toxic"] for r in out) <= 0.02 * len(out)
+
+
+def test_repeated_rows_teach_once(spark):
+    """A third of all rows is one labelled row: scores are those without it."""
+    rows, marks = sample()
+    df, hot = docs(spark, rows), [rows[7]] * 200
+    plain = {r["doc_id"]: r["score"] for r in toxicity.digest(df, labels(spark, marks)).collect()}
+    got = toxicity.digest(docs(spark, [*rows, *hot]), labels(spark, marks)).collect()
+    assert len(got) == len(rows) + 200
+    assert all(r["score"] == pytest.approx(plain[r["doc_id"]], abs=1e-9) for r in got)
+
+
+def test_scores_are_those_of_the_model(spark):
+    """Counts, ratios, weights and scores again, from n-grams in plain Python."""
+    rows, marks = sample(200)
+    df, marked = docs(spark, rows), dict(marks)
+    model = toxicity.train(df, labels(spark, marks))
+    learnt = [(features(t), marked[i]) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    totals = [sum(1 for _, y in learnt if y == k) for k in (0, 1)]
+    seen = {}
+    for grams, y in learnt:
+        for b in {bucket(g) for g in grams}:
+            seen.setdefault(b, [0, 0])[y] += 1
+    ratio = {b: np.log((p + 1) / (totals[1] + 2)) - np.log((q + 1) / (totals[0] + 2)) for b, (q, p) in seen.items()}
+    told = sorted((-abs(ratio[b]) * (sum(seen[b]) ** 0.5), b) for b in seen if sum(seen[b]) >= toxicity.MIN_DOCS)
+    best = {b for _, b in told[: toxicity.MAX_FEATURES]}
+    # Equal values at the cut may go either way.
+    cut = -told[min(len(told), toxicity.MAX_FEATURES) - 1][0]
+    assert all(b in set(model["at"].tolist()) for b in best if abs(ratio[b]) * (sum(seen[b]) ** 0.5) > cut + 1e-9)
+    weight = dict(zip(model["at"].tolist(), model["weight"].tolist()))
+    for r in toxicity.score(df, model).collect():
+        body = dict(rows)[r["doc_id"]]
+        z = model["bias"] + sum(weight.get(b, 0.0) for b in {bucket(g) for g in features(body)})
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-5)
+        assert r["predicted"] == int(r["score"] >= 0.3)
+
+
+def bucket(gram):
+    return int(toxicity.ngram_buckets(np.array([ord(c) for c in gram], np.uint64), len(gram))[0])
