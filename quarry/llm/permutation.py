@@ -10,11 +10,19 @@ pivots' places (a pivot that is missing stands one place past the end), is
 
 where a and b count places from the end (last: 1). So the files of the shared
 pivots are all it takes. The ``budget`` share of a block with the smallest
-distances is reranked by the exact inner product in double precision.
+distances (equal ones by vec_id) is reranked by the exact inner product in
+double precision.
+
+Equal vectors are one entry of the index, under their smallest id: copies
+neither fill the budget nor are searched for one by one. The entry carries its
+k + 1 smallest ids; more of them can't be among the k best, as equal scores go
+to the smaller id. The k + 1 best entries of a query vector give the rows, for
+each id that asks for this vector without itself.
 
 Queries and rows meet in blocks (see ``vectors.cells``); a cell hands on at
-most k rows per query. The pivot sample is the only thing of bounded size;
-every vector is indexed and each block is searched in full.
+most k + 1 rows per query vector. The pivot sample is the only thing of bounded
+size; every vector is indexed and each block is searched in full, small ones
+like large ones. Nothing depends on the order of the rows.
 
 Defined cases: see ``vectors.usable`` for vectors and ids that take no part;
 zero vectors take none either; vectors are compared with those of their own
@@ -29,17 +37,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.arrow import map_batches
-from quarry.llm.vectors import best, cells, matrix, prepared, ranked, usable
+from quarry.llm.common import written
+from quarry.llm.vectors import best, cells, is_query, matrix, ranked, usable
 
 K, EVERY = 20, 20
 PIVOTS = 256  #: size of the sample
 LENGTH = 48  #: nearest pivots kept of each vector
-BUDGET = 0.25  #: share of a block that is reranked,
-LEAST = 400  #: and at least so many rows of it
+BUDGET = 0.25  #: share of a block that is reranked
 
 
 def pick_pivots(vectors: DataFrame, pivots: int) -> np.ndarray:
@@ -86,11 +94,12 @@ def _post(near: np.ndarray, pivots: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return row, place.astype(np.int16), np.searchsorted(flat[order], np.arange(pivots + 1))
 
 
-def _search(pivots: int, k: int, budget: float, least: int):
+def _search(pivots: int, k: int, budget: float):
     def run(a: pa.Table, b: pa.Table) -> dict:
+        b = b.sort_by("vec_id")
         q, x = matrix(a, "v", np.float64), matrix(b, "v", np.float64)
         ids, rows = a.column("vec_id").to_numpy(), b.column("vec_id").to_numpy()
-        size = max(least, int(np.ceil(budget * len(rows))))
+        size = max(k, int(np.ceil(budget * len(rows))))
         near = matrix(b, "near", np.int64)
         exact = size >= len(rows) or near.shape[1] == 0
         if not exact:
@@ -105,8 +114,10 @@ def _search(pivots: int, k: int, budget: float, least: int):
                 for place, p in enumerate(asked[i]):
                     part = slice(bound[p], bound[p + 1])
                     shared[file_row[part]] += np.minimum(file_place[part], length - place)
-                near_rows = np.argpartition(-shared, size)[:size]
-            near_rows = near_rows[rows[near_rows] != ids[i]]
+                # The smallest distances, equal ones by place, which is by vec_id.
+                edge = np.partition(shared, len(rows) - size)[len(rows) - size]
+                ahead, tied = np.flatnonzero(shared > edge), np.flatnonzero(shared == edge)
+                near_rows = np.concatenate([ahead, tied[: size - len(ahead)]])
             score = x[near_rows] @ q[i]
             keep = best(np.zeros(len(score), np.int8), rows[near_rows], score, k)
             out.append((np.full(len(keep), ids[i]), rows[near_rows[keep]], score[keep]))
@@ -115,18 +126,44 @@ def _search(pivots: int, k: int, budget: float, least: int):
     return run
 
 
+def entries(rows: DataFrame, k: int) -> DataFrame:
+    """(vec_id, v, dim, members): the different vectors of (vec_id, v, dim),
+    each with its ``k`` smallest ids; the ranks are cut before the shuffle."""
+    nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    few = rows.withColumn("nth", nth).where(F.col("nth") <= k)
+    members = F.array_sort(F.collect_list("vec_id"))
+    return few.groupBy("v").agg(members.alias("members")).select(
+        F.col("members")[0].alias("vec_id"), "v", F.size("v").alias("dim"), "members"
+    )
+
+
 def search(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K, every: int = EVERY,
-    pivots: int = PIVOTS, length: int = LENGTH, budget: float = BUDGET, least: int = LEAST,
+    pivots: int = PIVOTS, length: int = LENGTH, budget: float = BUDGET,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found (highest
     inner product) for every row whose id is divisible by ``every``."""
     whole = usable(vectors, key, vector).where(F.exists("v", lambda c: c != 0))
-    rows, _, _, _ = prepared(whole, every, "permutation-vectors")
-    chosen = pick_pivots(rows, pivots)
-    rows, queries, nq, n = prepared(index(rows, chosen, min(length, len(chosen))), every, "permutation-index")
-    found = cells(queries, rows, nq, n, _search(len(chosen), k, budget, least), "query_id long, vec_id long, score double")
-    return ranked(found, k)
+    rows = written(whole, "permutation-vectors")
+    known = written(entries(rows, k + 1), "permutation-entries")
+    asking = rows.where(is_query(F.col("vec_id"), every)).select(F.col("vec_id").alias("asker"), F.col("v").alias("asked"))
+    asking = written(
+        asking.join(known, F.col("asked") == F.col("v")).select("asker", F.col("vec_id").alias("entry")), "permutation-asking"
+    )
+    chosen = pick_pivots(known, pivots)
+    indexed = written(index(known, chosen, min(length, len(chosen))), "permutation-index")
+    queries = written(
+        indexed.join(asking.select("entry").distinct(), F.col("vec_id") == F.col("entry"), "left_semi"), "permutation-queries"
+    )
+    found = cells(
+        queries, indexed, queries.count(), indexed.count(), _search(len(chosen), k + 1, budget), "query_id long, vec_id long, score double"
+    )
+    near = ranked(found, k + 1).select("query_id", F.col("vec_id").alias("entry"), "score")
+    members = known.select(F.col("vec_id").alias("of"), "members")
+    ids = near.join(members, F.col("entry") == F.col("of")).select("query_id", F.explode("members").alias("vec_id"), "score")
+    best_ids = ranked(ids, k + 1).select(F.col("query_id").alias("of"), "vec_id", "score")
+    each = written(best_ids, "permutation-found").join(asking, F.col("of") == F.col("entry")).where(F.col("asker") != F.col("vec_id"))
+    return ranked(each.select(F.col("asker").alias("query_id"), "vec_id", "score"), k)
 
 
 def digest(vectors: DataFrame) -> DataFrame:

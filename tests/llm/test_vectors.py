@@ -89,3 +89,29 @@ def test_recall_of_the_index(spark):
     want = {(q, i) for q, _, i, _ in brute(rows, None)}
     got = {(r["query_id"], r["vec_id"]) for r in permutation.digest(df).collect()}
     assert len(got & want) / len(want) >= 0.9
+
+
+def test_a_third_of_equal_vectors(spark, monkeypatch):
+    """Copies take one place of the budget: their queries get the smallest ids,
+    others their neighbours, and the order of the rows changes nothing."""
+    rng = np.random.default_rng(9)
+    hot = rng.normal(size=16)
+    rows = [(i, hot if i % 3 == 0 else rng.normal(size=16)) for i in range(3000)]
+    monkeypatch.setattr(vectors, "ROWS", 700)
+    got = rows_of(permutation.digest(table(spark, rows)))
+    want = brute(rows, None)
+    of_hot = [r[:3] for r in got if r[0] % 3 == 0]
+    assert of_hot == [r[:3] for r in want if r[0] % 3 == 0]
+    assert len({(q, i) for q, _, i, _ in got} & {(q, i) for q, _, i, _ in want}) >= 0.9 * len(want)
+    turned = [rows[i] for i in rng.permutation(len(rows))]
+    assert rows_of(permutation.digest(table(spark, turned).repartition(5))) == got
+
+
+def test_recall_holds_on_small_tables(spark):
+    """No size is searched in another way: blocks of some hundred rows too."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 16))
+    rows = [(i, centres[i % 20] + 0.7 * rng.normal(size=16)) for i in range(500)]
+    got = {(r["query_id"], r["vec_id"]) for r in permutation.digest(table(spark, rows)).collect()}
+    want = {(q, i) for q, _, i, _ in brute(rows, None)}
+    assert len(got & want) >= 0.9 * len(want)
