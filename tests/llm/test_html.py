@@ -59,3 +59,79 @@ def test_awkward_rows(spark):
     out = html_text.digest(pages(spark, rows)).collect()
     assert sorted((r["page_id"] or 0, r["n_chars"]) for r in out) == [(0, 1), (1, 0), (2, 0), (3, 1), (3, 1), (4, 249_999)]
     assert html_text.digest(pages(spark, [])).count() == 0
+
+
+SITE = "<html><body><div><p>Welcome here</p></div><div><h1>{0}</h1><p>Story {0} in its own words</p></div></body></html>"
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    """Three copies among fifteen pages of a host without article elements."""
+    rows = [(i, f"http://h.example/{i}", SITE.format(min(i, 12))) for i in range(15)]
+    out = extract(spark, rows)
+    assert all(out[i] == f"{min(i, 12)}\nStory {min(i, 12)} in its own words" for i in range(15))
+
+
+def test_counts_equal_brute_force(spark):
+    """Every subtree's number of different pages per host, counted plainly."""
+    import collections
+    import random
+
+    rng = random.Random(3)
+    parts = [f"<div><p>part {i}</p></div>" for i in range(12)]
+    rows = []
+    for i in range(120):
+        body = "<body>" + "".join(rng.sample(parts, 4)) + f"<section><b>{rng.randrange(30)}</b></section></body>"
+        rows.append((i, f"https://s{rng.randrange(3)}.example/{i}", f"<head><title>{i}</title></head>" + body))
+    rows += rows[:40]
+    bodies = collections.defaultdict(set)
+    for _, url, page in rows:
+        bodies[html_text.host_of(url)].add(page[page.index("<body"):])
+    want = {}
+    for host, pages_of in bodies.items():
+        seen = collections.Counter()
+        for page in pages_of:
+            seen.update({k for _, k in html_text.hashed(html_text.parse(page), host)})
+        want |= seen | {html_text._host_key(host): len(pages_of)}
+    folder, bits = html_text.template_store(pages(spark, rows), "url", "html")
+    import numpy as np
+
+    keys = np.array(sorted(want), np.uint64)
+    hit, (n,) = html_text.Shards(folder, bits, "key", ("pages",)).find(keys)
+    for k, there, count in zip(keys.tolist(), hit.tolist(), n.tolist()):
+        assert there == (want[k] >= html_text.MIN_PAGES)
+        assert not there or count == pytest.approx(want[k], abs=1e-6)
+
+
+def test_the_template_part_decides(spark, monkeypatch):
+    rows = [(i, f"http://h.example/{i}", SITE.format(i)) for i in range(12)]
+    assert extract(spark, rows)[3] == "3\nStory 3 in its own words"
+    monkeypatch.setattr(html_text, "MIN_PAGES", 10**6)
+    assert extract(spark, rows)[3].startswith("Welcome here\n")
+
+
+@pytest.mark.parametrize("name", ["side-by-side", "social-history", "legal", "search-results", "related-work", "login-story"])
+def test_class_words_inside_articles_say_nothing(name):
+    assert text(f"<article><p>a</p><div class='{name}'><p>b</p></div></article>") == "a\nb"
+
+
+@pytest.mark.parametrize("name", ["comments", "ad", "share", "related wide", "big newsletter"])
+def test_whole_names_inside_articles_do(name):
+    assert text(f"<article><p>a</p><div class='{name}'><p>b</p></div></article>") == "a"
+
+
+def test_large_hosts_need_no_share():
+    menu, story = html_text.Node("div", None, False), html_text.Node("p", None, False)
+    assert html_text.is_template(menu, 150_000, 1_000_000) and not html_text.is_template(story, 150_000, 1_000_000)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 200_000, "<p>x</p>" + "<a '" * 200_000, "<script>" + "</script " * 100_000, "<div>" * 50_000 + "</x>" * 50_000,
+    "<span>" * 50_000 + "<hr>" * 50_000, "<!--" * 100_000, "<![CDATA[" * 50_000, "<article>" * 30_000 + "<header><h1>" * 30_000,
+    "<header>" + "<h2>x</h2>" * 30_000 + "</header>", "<p><b>" * 30_000, "<li>" * 60_000, "<" * 300_000, "<a href=\"" * 100_000 + ">",
+])
+def test_broken_markup_is_read_in_linear_time(page):
+    import time
+
+    began = time.process_time()
+    text(page)
+    assert time.process_time() - began < 6
