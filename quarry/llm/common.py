@@ -38,8 +38,10 @@ def unpacked(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, where all executors see
-    it (a private one only where the setting is missing, in local mode)."""
-    return scratch_path(spark, f"llm-{name}")
+    it (a private one only where the setting is missing, in local mode), with
+    its file system: a path without scheme lies in Spark's default one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, f"llm-{name}"))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

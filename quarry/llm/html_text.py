@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.arrow import apply_groups, map_batches
 from quarry.llm.common import shared_dir, shuffle_width, written
-from quarry.llm.store import Shards, save, shard_bits
+from quarry.llm.store import Shards, save, shard_bits, written_shards
 
 MIN_PAGES = 3  #: a template subtree is on at least so many pages of its host
 MIN_SHARE = 0.2  #: and on this share of them,
@@ -338,12 +338,12 @@ def _pages(batches) -> Iterator[dict]:
         yield {"key": np.array(keys, np.uint64).view(np.int64)}
 
 
-def _count(folder: str, bits: int):
+def _count(folder: str, bits: int, there: frozenset[int]):
     """(hash, pages): different pages of a task on which a subtree is, each of
     n copies of a page counting 1 / n; a host's own hash counts its pages."""
 
     def run(batches) -> Iterator[dict]:
-        copies, counts = Shards(folder, bits, "page", ("copies",)), {}
+        copies, counts = Shards(folder, bits, "page", ("copies",), there), {}
         for b in batches:
             hosts = [host_of(u) for u in b.column(0).to_pylist()]
             keys = np.array([_page_key(h, body) for h, body in zip(hosts, b.column(2).to_pylist())], np.uint64)
@@ -367,8 +367,8 @@ def _rows(counts: dict[int, float]) -> dict:
     return {"key": keys.view(np.int64), "pages": np.fromiter(counts.values(), np.float64, len(counts))}
 
 
-def _stored(counts: DataFrame, value: str, folder: str, bits: int, names: tuple[str, str]) -> None:
-    """Writes (key, value) as sorted arrays, a shard per task."""
+def _stored(counts: DataFrame, value: str, folder: str, bits: int, names: tuple[str, str]) -> frozenset[int]:
+    """Writes (key, value) as sorted arrays, a shard per task; returns the shards."""
 
     def write(t):
         keys, n, shard = (t.column(c).to_numpy() for c in ("key", value, "shard"))
@@ -379,7 +379,7 @@ def _stored(counts: DataFrame, value: str, folder: str, bits: int, names: tuple[
         return {"shard": [int(shard[0])], "keys": [len(keys)]}
 
     dealt = counts.withColumn("shard", F.shiftrightunsigned("key", 64 - bits).cast("int"))
-    written(apply_groups(dealt, ["shard"], write, "shard int, keys long"), "template-shards")
+    return written_shards(written(apply_groups(dealt, ["shard"], write, "shard int, keys long"), "template-shards"))
 
 
 def _with_body(pages: DataFrame, url: str, html: str) -> DataFrame:
@@ -389,17 +389,17 @@ def _with_body(pages: DataFrame, url: str, html: str) -> DataFrame:
     return pages.select(F.col(url).alias("url"), F.col(html).alias("html"), F.xxhash64(body).alias("body"))
 
 
-def template_store(pages: DataFrame, url: str, html: str) -> tuple[str, int]:
-    """Counts subtrees per host; writes those on MIN_PAGES different pages or more."""
+def template_store(pages: DataFrame, url: str, html: str) -> tuple[str, int, frozenset[int]]:
+    """Counts subtrees per host; writes those on MIN_PAGES different pages or
+    more. Returns the folder, the bits of a shard's number and the shards."""
     spark = pages.sparkSession
     folder, bits = shared_dir(spark, "templates"), shard_bits(shuffle_width(spark))
     rows = _with_body(pages, url, html)
     copies = map_batches(rows.select("url", "body"), _pages, "key long").groupBy("key").agg(F.count("*").alias("n"))
-    _stored(copies.where("n > 1"), "n", folder, bits, ("page", "copies"))
-    counts = map_batches(rows, _count(folder, bits), "key long, pages double").groupBy("key").agg(F.sum("pages").alias("pages"))
+    several = _stored(copies.where("n > 1"), "n", folder, bits, ("page", "copies"))
+    counts = map_batches(rows, _count(folder, bits, several), "key long, pages double").groupBy("key").agg(F.sum("pages").alias("pages"))
     # The weights of n copies add up to 1 but for rounding.
-    _stored(counts.where(F.col("pages") >= MIN_PAGES - SLACK), "pages", folder, bits, ("key", "pages"))
-    return folder, bits
+    return folder, bits, _stored(counts.where(F.col("pages") >= MIN_PAGES - SLACK), "pages", folder, bits, ("key", "pages"))
 
 
 def is_template(node: Node, pages: float, of_host: float) -> bool:
@@ -413,11 +413,11 @@ def is_template(node: Node, pages: float, of_host: float) -> bool:
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars, n_template): the main text of every page
     and how many of its subtrees were deleted as site template."""
-    folder, bits = template_store(pages, url, html)
+    folder, bits, there = template_store(pages, url, html)
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches) -> Iterator[dict]:
-        store = Shards(folder, bits, "key", ("pages",))
+        store = Shards(folder, bits, "key", ("pages",), there)
         for b in batches:
             for at in range(0, max(b.num_rows, 1), PAGES):
                 part = b.slice(at, PAGES)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.arrow import apply_groups, map_batches
 from quarry.llm.common import shared_dir, shuffle_width, written
-from quarry.llm.store import Shards, save, shard_bits
+from quarry.llm.store import Shards, save, shard_bits, written_shards
 from quarry.llm.tokens import documents, mix
 
 COUNT_TOKENS = 3 << 20  #: tokens summed up locally before they are sent
@@ -179,7 +179,7 @@ def _pair_shard(folder: str, bits: int):
     return run
 
 
-META = "shard int, types long, tokens long, pairs long, docs long, " + ", ".join(
+META = "shard int, has_pairs long, types long, tokens long, pairs long, docs long, " + ", ".join(
     f"{x}{i} long" for x in ("t", "m") for i in (1, 2, 3, 4)
 )
 
@@ -207,7 +207,8 @@ def _word_shard(folder: str, bits: int):
         for name, values in (("before", before), ("n1", n[:, 0]), ("n2", n[:, 1]), ("n3", n[:, 2])):
             save(folder, f"{name}-{shard:06d}", values if len(values) and values.max() >> 32 else values.astype(np.uint32))
         totals = _numbers(part(TOTALS).column("n"), "<i8").reshape(-1, 4).sum(axis=0) if (kind == TOTALS).any() else np.zeros(4, np.int64)
-        out = {"shard": shard, "types": (c > 0).sum(), "tokens": c.sum(), "pairs": before.sum(), "docs": c[words == END].sum()}
+        # Totals come from the shard of pairs with this number.
+        out = {"shard": shard, "has_pairs": (kind == TOTALS).any(), "types": (c > 0).sum(), "tokens": c.sum(), "pairs": before.sum(), "docs": c[words == END].sum()}
         out |= {f"t{i + 1}": totals[i] for i in range(4)} | {f"m{i}": (before == i).sum() for i in (1, 2, 3, 4)}
         return {k: [int(v)] for k, v in out.items()}
 
@@ -232,15 +233,16 @@ def discounts(n: list[int]) -> np.ndarray:
 class Model:
     """What a worker needs to score: sums and the folder of the arrays."""
 
-    def __init__(self, folder: str, bits: int, sums: dict):
+    def __init__(self, folder: str, bits: int, sums: dict, words: frozenset[int], pairs: frozenset[int]):
         self.folder, self.bits, self.sums = folder, bits, sums
+        self.word_shards, self.pair_shards = words, pairs
         self.pair_discount = discounts([sums[f"t{i}"] for i in (1, 2, 3, 4)])
         self.word_discount = discounts([sums[f"m{i}"] for i in (1, 2, 3, 4)])
 
     def open(self) -> None:
-        shards = lambda name, *columns: Shards(self.folder, self.bits, name, columns)
-        self.words = shards("word", "c", "before", "n1", "n2", "n3")
-        self.one, self.two, self.more = shards("one"), shards("two"), shards("more", "count")
+        pairs = lambda name, *columns: Shards(self.folder, self.bits, name, columns, self.pair_shards)
+        self.words = Shards(self.folder, self.bits, "word", ("c", "before", "n1", "n2", "n3"), self.word_shards)
+        self.one, self.two, self.more = pairs("one"), pairs("two"), pairs("more", "count")
 
     def tokens(self, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Training count and log10 probability of every token of documents."""
@@ -289,7 +291,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     pairs = apply_groups(counted, ["kind", "shard"], _pair_shard(folder, bits), BLOB)
     meta = written(apply_groups(pairs, ["shard"], _word_shard(folder, bits), META), "kneser-ney-sums")
     sums = meta.groupBy().sum(*meta.columns[1:]).first()
-    return Model(folder, bits, dict(zip(meta.columns[1:], [v or 0 for v in sums])))
+    pairs = written_shards(meta.where("has_pairs > 0"))
+    return Model(folder, bits, dict(zip(meta.columns[1:], [v or 0 for v in sums])), written_shards(meta), pairs)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

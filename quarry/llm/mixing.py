@@ -2,14 +2,17 @@
 
 Each source is a queue of its shuffled documents, repeated for up to
 ``repeats`` passes. A queue entry's virtual finish time is its source's
-cumulative tokens divided by the source's target. Entries of all sources are
-range-sorted by finish time and the total budget truncates the sorted queue.
-An entry in which its source's target falls is cut there (finish time 1), so
-a source misses its target by rounding only, not by a document.
+cumulative tokens, up to and with the entry, divided by the source's target.
+The entries of all sources are range-sorted by finish time and the total budget
+truncates the sorted queue: that alone decides what is taken. At virtual time 1
+every source has had its target, so an entry that lasts beyond it stands in the
+queue in packets of ``PACKET`` words, each with its own finish time; a source
+misses its target by a few packets, not by a long document.
 
 No task sees a whole source or the whole queue: both running sums are taken
 within ranges (of the shuffle order, and of the finish time) plus the totals
-of the ranges before. Built-in functions only.
+of the ranges before. The targets are one window over the sources, a row each.
+Built-in functions only.
 
 Defined cases: null or blank texts have size 0 and take 0; a null source is a
 source of its own, last in order; null doc_ids and repeated rows are entries
@@ -27,6 +30,7 @@ from quarry.llm.common import SPACE, hash_unit, packed, unpacked, word_count, wr
 WEIGHTS = (5, 2, 1)  #: fixed values: repeating over the sources in order
 REPEATS = 3  #: a source gives at most so many times its size
 RANGES = 4096  #: ranges of the shuffle order and of the finish time
+PACKET = 8  #: words of a packet of an entry that lasts beyond time 1
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
@@ -56,14 +60,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     share = F.col("stop") * F.col("w")
     target = F.when(share >= F.col("cap"), F.col("cap").cast("double")).otherwise(share)
     df = df.withColumn("target", F.coalesce(target, F.lit(0.0)))
-    # Whole words: the running sum of the targets is rounded, so that they add
-    # up to the budget.
-    upto = F.sum("target").over(Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
-    whole = F.round(upto) - F.round(upto - F.col("target"))
-    return df.select(
-        "source", "source_size", "target", F.least(whole.cast("long"), F.col("cap")).alias("whole"),
-        F.col("total").alias("budget"),
-    )
+    # Packets that end behind time 1 share what the budget has left there: a
+    # packet per source at most. Until this time the open sources take more.
+    open_target = F.sum(F.when(share < F.col("cap"), F.col("target")).otherwise(0.0)).over(everything)
+    late = 1.0 + F.coalesce(F.try_divide(2.0 * PACKET * F.count(F.lit(1)).over(everything), open_target), F.lit(0.0))
+    return df.select("source", "source_size", "target", late.alias("late"), F.col("total").alias("budget"))
 
 
 def mix(
@@ -99,18 +100,23 @@ def mix(
         .drop("_s", "_r")
         .withColumn("first", F.col("offset") + F.col("inside") - F.col("size"))
     )
-    # One entry per pass, cut at its source's target. What lies beyond it has
-    # a finish time over 1, which the budget can't reach.
+    # One entry per pass; one that lasts beyond time 1 in packets, as far as the
+    # budget can reach.
+    whole = F.col("at") + F.col("size") <= F.col("target")
+    reach = F.least(F.col("size").cast("double"), F.col("target") * F.col("late") + PACKET - F.col("at"))
+    packets = F.sequence(F.lit(0).cast("long"), F.floor((F.greatest(reach, F.lit(1.0)) - 1) / PACKET).cast("long"))
     entries = (
         queue.where("size > 0")
         .withColumn("lap", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
         .withColumn("at", F.col("lap") * F.col("source_size") + F.col("first"))
-        .withColumn("n", F.least(F.col("whole") - F.col("at"), F.col("size")))
-        .where("n > 0")
-        .withColumn("finish", F.least((F.col("at") + F.col("n")) / F.col("target"), F.lit(1.0)))
+        .where(F.col("at") <= F.col("target") * F.col("late"))
+        .withColumn("packet", F.explode(F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(packets)))
+        .withColumn("n", F.when(whole, F.col("size")).otherwise(F.least(F.col("size") - F.col("packet") * PACKET, F.lit(PACKET))))
+        .withColumn("at", F.col("at") + F.when(whole, 0).otherwise(F.col("packet") * PACKET))
+        .withColumn("finish", (F.col("at") + F.col("n")) / F.col("target"))
         # Global range sort by finish time. Fair queueing spreads the budget
         # evenly over virtual time, so equal ranges of it are equal loads.
-        .withColumn("spot", F.floor(F.col("finish") * RANGES).cast("int"))
+        .withColumn("spot", F.floor(F.least("finish", F.lit(2.0)) * RANGES).cast("int"))
         .select("row", "source", "turn", "doc_id", "at", "n", "finish", "spot", "budget")
     )
     entries = written(entries, "mix-queue")
@@ -186,20 +192,21 @@ levelled AS (
   SELECT *, max((total - full_) / (all_w - full_w)) OVER () AS stop
   FROM filled),
 shares AS (
-  SELECT source, source_size, cap, total,
+  SELECT source, source_size, cap, total, stop * w < cap AS open,
          coalesce(CASE WHEN stop * w >= cap THEN cap::DOUBLE ELSE stop * w END, 0) AS target FROM levelled),
 whole AS (
-  SELECT *, least((round(upto) - round(upto - target))::BIGINT, cap) AS whole FROM (
-    SELECT *, sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) AS upto FROM shares)),
+  SELECT *, 1.0::DOUBLE + coalesce(2.0::DOUBLE * 8 * count(*) OVER () / nullif(sum(CASE WHEN open THEN target ELSE 0.0::DOUBLE END) OVER (), 0), 0) AS late FROM shares),
 queue AS (
-  SELECT s.*, w.source_size, w.target, w.whole, w.total,
+  SELECT s.*, w.source_size, w.target, w.late, w.total,
          (sum(size) OVER (PARTITION BY s.source ORDER BY turn, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT - size AS first
   FROM sized s JOIN whole w ON s.source IS NOT DISTINCT FROM w.source),
+laps AS (SELECT q.*, lap * source_size + first AS start FROM queue q, range(3) t(lap) WHERE size > 0),
 entries AS (
-  SELECT q.*, lap * source_size + first AS spot, least(whole - (lap * source_size + first), size) AS n
-  FROM queue q, range(3) t(lap) WHERE size > 0 AND whole > lap * source_size + first),
+  SELECT * EXCLUDE (p), start + p * 8 AS spot, CASE WHEN start + size <= target THEN size ELSE least(size - p * 8, 8) END AS n
+  FROM laps, range(CASE WHEN start + size <= target THEN 1 ELSE (size + 7) // 8 END) t(p)
+  WHERE start + p * 8 <= target * late + 8),
 served AS (
-  SELECT *, (sum(n) OVER (ORDER BY least((spot + n) / target, 1.0::DOUBLE), source NULLS LAST, spot, turn, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT AS upto
+  SELECT *, (sum(n) OVER (ORDER BY (spot + n) / target, source NULLS LAST, spot, turn, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT AS upto
   FROM entries),
 taken AS (SELECT doc_id, source, turn, sum(least(greatest(total - upto + n, 0), n))::BIGINT AS taken FROM served GROUP BY ALL)
 SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(t.taken, 0)::BIGINT AS taken

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from quarry.llm.arrow import apply_groups, map_batches
 from quarry.llm.common import packed, shared_dir, shuffle_width, unpacked, written
 from quarry.llm.components import connected_components
-from quarry.llm.store import Shards, save, shard_bits
+from quarry.llm.store import Shards, save, shard_bits, written_shards
 from quarry.llm.tokens import documents, mix
 
 N = 5  #: words of a shingle
@@ -370,11 +370,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         save(folder, f"gone-{shard:06d}", np.sort(t.column("key").to_numpy().view(np.uint64)))
         return {"shard": [shard]}
 
-    written(apply_groups(map_batches(keys, deal, "key long, shard int"), ["shard"], write, "shard int"), "join-gone-shards")
+    there = written_shards(
+        written(apply_groups(map_batches(keys, deal, "key long, shard int"), ["shard"], write, "shard int"), "join-gone-shards")
+    )
     at = base.columns.index("at")
 
     def keep(batches) -> Iterator[pa.RecordBatch]:
-        shards = Shards(folder, bits, "gone")
+        shards = Shards(folder, bits, "gone", (), there)
         for b in batches:
             k = spread(b.column(at).to_numpy())
             order = np.argsort(k)

@@ -4,6 +4,11 @@ them into memory. A shard holds the keys whose top bits are its number, sorted.
 Files are written under a name of their own and then renamed, so a task that
 runs twice leaves one whole file. In a file system that can't be mapped, a
 worker copies a shard to an unnamed temporary file when it first needs it.
+
+The folder comes from ``common.shared_dir``, which names its file system, so no
+path is taken for a local one by mistake. Writers report the shards they wrote;
+a reader that knows them raises if one is not there, as on a folder that is not
+shared after all, instead of taking it for empty.
 """
 
 from __future__ import annotations
@@ -65,13 +70,21 @@ class Shards:
     """Reader of keys (uint64) with values. ``name`` has one sorted key array
     per shard, ``columns`` the value arrays beside it."""
 
-    def __init__(self, folder: str, bits: int, name: str, columns: tuple[str, ...] = ()):
-        self.folder, self.bits, self.name, self.columns = folder, bits, name, columns
+    def __init__(self, folder: str, bits: int, name: str, columns: tuple[str, ...], there: frozenset[int]):
+        self.folder, self.bits, self.name, self.columns, self.there = folder, bits, name, columns, there
         self.open: dict[int, list] = {}
 
     def _shard(self, i: int) -> list:
+        if i not in self.there:
+            return [None] * (1 + len(self.columns))
         if i not in self.open:
-            self.open[i] = [load(self.folder, f"{c}-{i:06d}") for c in (self.name, *self.columns)]
+            found = [load(self.folder, f"{c}-{i:06d}") for c in (self.name, *self.columns)]
+            if any(x is None for x in found):
+                raise FileNotFoundError(
+                    f"shard {i} of {self.name!r} was written to {self.folder}, but is not there: "
+                    "is spark.checkpoint.dir shared by all executors?"
+                )
+            self.open[i] = found
         return self.open[i]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -94,6 +107,12 @@ class Shards:
         return hit, [np.zeros(len(keys), np.int64) if v is None else v for v in out]
 
 
+def written_shards(rows) -> frozenset[int]:
+    """The shards that tasks reported (a table with ``shard``): at most one
+    number per shard."""
+    return frozenset(r["shard"] for r in rows.select("shard").distinct().collect())
+
+
 def shard_bits(width: int) -> int:
     """Bits that give at least ``width`` shards."""
     return max(1, (max(2, width) - 1).bit_length())

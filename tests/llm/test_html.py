@@ -92,11 +92,11 @@ def test_counts_equal_brute_force(spark):
         for page in pages_of:
             seen.update({k for _, k in html_text.hashed(html_text.parse(page), host)})
         want |= seen | {html_text._host_key(host): len(pages_of)}
-    folder, bits = html_text.template_store(pages(spark, rows), "url", "html")
+    folder, bits, there = html_text.template_store(pages(spark, rows), "url", "html")
     import numpy as np
 
     keys = np.array(sorted(want), np.uint64)
-    hit, (n,) = html_text.Shards(folder, bits, "key", ("pages",)).find(keys)
+    hit, (n,) = html_text.Shards(folder, bits, "key", ("pages",), there).find(keys)
     for k, there, count in zip(keys.tolist(), hit.tolist(), n.tolist()):
         assert there == (want[k] >= html_text.MIN_PAGES)
         assert not there or count == pytest.approx(want[k], abs=1e-6)
