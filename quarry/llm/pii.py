@@ -1,10 +1,12 @@
 """Personal data: seed entities by format, more by bootstrapped contexts.
 
 Method. Well-formed emails, ip addresses, cards and phone numbers are the
-seeds. The word left and the word right of a span are its lexical patterns.
-Instances are the seeds' values and the values of candidates: words that hold
-enough digits or an ``@`` but are no seed. Pattern-instance edges with counts
-form a bipartite graph, scored for a fixed number of rounds:
+seeds. The word left and the word right of a span are its lexical patterns
+(words without the punctuation around them, lower case, a neighbouring number
+included). Instances are the seeds' values and the values of candidates: words
+that hold enough digits or an ``@``, and digit groups that blanks, brackets,
+dots or dashes part, but are no seed. Pattern-instance edges with counts form a
+bipartite graph, scored for a fixed number of rounds:
 
 * confidence of a (pattern, kind): the scores of its instances, weighted by
   edge count, over all occurrences of the pattern's word in the corpus (plus a
@@ -21,7 +23,9 @@ are joined to edges that may pile up on one word, are spread over salts.
 
 Defined cases: a null text is empty (no spans); null or repeated doc_ids are
 kept row by row (equal rows get equal spans); empty tables give empty results;
-further columns, clashing names included, are not read.
+further columns, clashing names included, are not read; a word of
+``spans.CONTEXT`` characters or more is no pattern. A scan is linear in the
+text, space-free ones included.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import SPACE, written
-from quarry.llm.spans import NONE, Kind, joined, ordered, with_spans
+from quarry.llm.spans import CONTEXT, NONE, Kind, joined, ordered, with_spans
 
 KINDS = ["email", "ip", "card", "phone"]
 _LOCAL = "A-Za-z0-9._%+-"
@@ -68,12 +72,17 @@ SEEDS = [
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: t.contains("+"),
          lambda v: _digits(v).between(9, 15)),
 ]
-_EDGE = r"\x20\x09-\x0D!\"#$%&'()*,./:;<=>?\[\\\]^`{|}~_-"
-#: A word that holds a digit or an @, without punctuation at its ends.
+_PUNCT = r"!\"#$%&'()*,./:;<=>?\[\\\]^`{|}~_-"
+_EDGE = rf"{SPACE}{_PUNCT}"
+#: From the start of a space-free run: 7 to 19 digits in groups, or the run if
+#: it holds a digit or an @. Punctuation at the ends doesn't count.
 CANDIDATE = Kind(
-    "candidate", rf"(?<![^{_EDGE}])(?=[^{SPACE}0-9@]*+[0-9@])[^{_EDGE}](?:[^{SPACE}]*[^{_EDGE}])?",
+    "candidate",
+    rf"(?<![^{SPACE}])(?:[{_PUNCT}]{{0,3}}+[0-9](?:[\x20()./-]{{0,3}}+[0-9]){{6,18}}+(?![^{_EDGE}])"
+    rf"|(?=[^{SPACE}0-9@]*+[0-9@])[^{SPACE}]++)",
     lambda t: t.rlike("[0-9@]"),
     lambda v: (F.length(v) >= 5) & ((_digits(v) >= 4) | v.rlike("[^@]@[^@]")),
+    _PUNCT,
 )
 
 
@@ -89,14 +98,18 @@ def spans_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _patterns(span: Column) -> Column:
-    """L:<word left> and R:<word right>, lower case; none at a text's ends."""
-    left = F.regexp_extract(span["before"], rf"([^{SPACE}]++)[{SPACE}]*+$", 1)
-    right = F.regexp_extract(span["after"], rf"^[{SPACE}]*+([^{SPACE}]++)", 1)
+    """L:<word left> and R:<word right>, lower case; none at a text's ends. A
+    word as long as the context may be cut, so it is none either."""
+    left = F.regexp_extract(span["before"], rf"([^{_EDGE}]++)[{_EDGE}]*+$", 1)
+    right = F.regexp_extract(span["after"], rf"^[{_EDGE}]*+([^{_EDGE}]++)", 1)
     both = F.array(
         F.struct(F.lit("L").alias("side"), F.lower(left).alias("word")),
         F.struct(F.lit("R").alias("side"), F.lower(right).alias("word")),
     )
-    return F.filter(both, lambda p: p["word"] != "")
+    at_edge = lambda word, context: F.length(word) == F.length(context)
+    cut = (F.length(span["before"]) == CONTEXT) & at_edge(left, span["before"]), (F.length(span["after"]) == CONTEXT) & at_edge(right, span["after"])
+    both = F.filter(both, lambda p: (p["word"] != "") & ~F.when(p["side"] == "L", cut[0]).otherwise(cut[1]))
+    return both
 
 
 def _fits(value: Column, kind: Column) -> Column:
@@ -112,7 +125,7 @@ def word_counts(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
     buckets in use, a broadcast of at most BUCKETS numbers."""
     bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")
     used = needed.select(bucket.alias("_b")).distinct()
-    parts = F.split(F.lower(F.col(text)), rf"[{SPACE}]+")
+    parts = F.split(F.lower(F.col(text)), rf"[{_EDGE}]++")
     return (
         docs.select(F.explode(parts).alias("word")).withColumn("_b", bucket)
         .join(F.broadcast(used), "_b", "left_semi")
@@ -148,8 +161,8 @@ def score_candidates(edges: DataFrame, docs: DataFrame, text: str, rounds: int =
         trust = (
             per_instance.groupBy("side", "word", "kind").agg(F.sum("w").alias("w"), F.count("*").alias("instances"))
             .where(F.col("instances") >= MIN_INSTANCES)
-            .join(totals, "word")
-            .withColumn("trust", F.col("w") / (F.greatest(F.col("n").cast("double"), F.col("w")) + SMOOTHING))
+            .join(totals, "word", "left")
+            .withColumn("trust", F.col("w") / (F.greatest(F.coalesce(F.col("n").cast("double"), F.col("w")), F.col("w")) + SMOOTHING))
             .where(F.col("trust") >= MIN_CONFIDENCE)
             .select("side", "word", "kind", "trust")
         )

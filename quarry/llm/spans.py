@@ -2,7 +2,8 @@
 
 ``regexp_extract_all`` gives the matches and ``split`` the texts between them;
 a running sum over both gives every start. The patterns use possessive
-quantifiers and start only where a match can, so a scan is linear in the text.
+quantifiers and look ahead at most as far as they match or, from the start of a
+space-free run, to its end once, so a scan is linear in the text.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ BLOCK = 64  #: matches per block of the two-level running sum
 @dataclass(frozen=True)
 class Kind:
     """One kind of span. ``maybe`` is a cheap condition that every text with a
-    match meets; ``keep`` drops matches (given the matched text)."""
+    match meets; ``keep`` drops matches (given the matched text); ``edges`` is
+    a character class that matches lose at both ends before that."""
 
     name: str
     pattern: str
     maybe: Callable[[Column], Column]
     keep: Callable[[Column], Column]
+    edges: str = ""
 
 
 def with_spans(df: DataFrame, text: str, kinds: list[Kind]) -> DataFrame:
@@ -38,7 +41,8 @@ def with_spans(df: DataFrame, text: str, kinds: list[Kind]) -> DataFrame:
         df = df.withColumn("_found", F.when(k.maybe(F.col(text)), found))
         between = F.split(F.col(text), k.pattern, -1)
         df = df.withColumn("_gaps", F.when(F.size("_found") > 0, between))
-        df = df.withColumn("_parts", F.when(F.size("_found") > 0, _parts(k.name)))
+        df = df.withColumn("_rows", F.when(F.size("_found") > 0, _rows()))
+        df = df.withColumn("_parts", F.when(F.size("_rows") > 0, _parts(k.name)))
         spans = _kept(_shifted(F.col("_parts")), k)
         df = df.withColumn(f"_{k.name}", F.coalesce(spans, F.array().cast(NONE)))
         names = [*names, f"_{k.name}"]
@@ -46,14 +50,19 @@ def with_spans(df: DataFrame, text: str, kinds: list[Kind]) -> DataFrame:
     return df
 
 
-def _parts(kind: str) -> Column:
-    """Blocks of matches: (length of the block's text, spans from its start)."""
-    n = F.size("_found")
+def _rows() -> Column:
+    """Per match: its text, the gaps before and after, and the matches there."""
+    n, none = F.size("_found"), F.array(F.lit(""))
     rows = F.arrays_zip(
-        F.col("_found").alias("m"), F.col("_gaps").alias("g"),
-        F.slice("_gaps", F.lit(2), n).alias("h"),
+        F.col("_found").alias("m"), F.col("_gaps").alias("g"), F.slice("_gaps", F.lit(2), n).alias("h"),
+        F.concat(none, F.col("_found")).alias("p"), F.concat(F.slice("_found", F.lit(2), n), none).alias("q"),
     )
-    rows = F.slice(rows, F.lit(1), n)
+    return F.slice(rows, F.lit(1), n)
+
+
+def _parts(kind: str) -> Column:
+    """Blocks of matches: (length of the block's text, spans from its start)."""
+    n, rows = F.size("_rows"), F.col("_rows")  # a column, so that it isn't made anew for every block
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")),
         lambda b: F.slice(rows, b * BLOCK + 1, F.lit(BLOCK)),
@@ -65,8 +74,9 @@ def _parts(kind: str) -> Column:
         end = at + F.length(r["m"])
         span = F.struct(
             F.lit(kind).alias("kind"), at.alias("start"), end.alias("end"), r["m"].alias("value"),
-            F.substring(r["g"], -CONTEXT, CONTEXT).alias("before"),
-            F.substring(r["h"], 1, CONTEXT).alias("after"),
+            # The text around the match, a neighbouring match included.
+            F.substring(F.concat(r["p"], r["g"]), -CONTEXT, CONTEXT).alias("before"),
+            F.substring(F.concat(r["h"], r["q"]), 1, CONTEXT).alias("after"),
         )
         return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
 
@@ -89,6 +99,13 @@ def _shifted(parts: Column) -> Column:
 
 
 def _kept(spans: Column, kind: Kind) -> Column:
+    if kind.edges:
+        skip = lambda v: F.length(F.regexp_extract(v, f"^[{kind.edges}]*+", 0))
+        cut = lambda s, a, b: (
+            s.withField("start", s["start"] + a).withField("end", s["end"] - b)
+            .withField("value", F.substring(s["value"], a + 1, F.greatest(F.length(s["value"]) - a - b, F.lit(0))))
+        )
+        spans = F.transform(spans, lambda s: cut(s, skip(s["value"]), skip(F.reverse(s["value"]))))
     return F.filter(spans, lambda s: kind.keep(s["value"]))
 
 

@@ -111,6 +111,111 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(len(out[i]["spans"]) == 2 for i in range(30))
 
 
+def graph_spans(rows):
+    """The whole method in plain Python: seeds, candidates, contexts, rounds."""
+    import math
+
+    edge, punct, ctx = pii._EDGE, pii._PUNCT, 48
+    low = lambda t: t.lower()
+
+    def contexts(text, found, trim):
+        out = []
+        for i, m in enumerate(found):
+            a, b, v = m.start(), m.end(), m.group()
+            if trim:
+                a += len(re.match(f"[{punct}]*", v)[0])
+                b -= len(re.match(f"[{punct}]*", v[::-1])[0])
+                v = text[a:b] if a < b else ""
+            # The text as far as the match before and the one behind reach.
+            left = text[found[i - 1].start() if i else 0 : m.start()][-ctx:]
+            right = text[m.end() : found[i + 1].end() if i + 1 < len(found) else len(text)][:ctx]
+            words = []
+            w = re.search(f"([^{edge}]+)[{edge}]*$", left)
+            if w and not (len(left) == ctx and len(w[1]) == ctx):
+                words.append(("L", low(w[1])))
+            w = re.match(f"[{edge}]*([^{edge}]+)", right)
+            if w and not (len(right) == ctx and len(w[1]) == ctx):
+                words.append(("R", low(w[1])))
+            out.append((a, b, v, words))
+        return out
+
+    texts = [(i, t or "") for i, t in rows]
+    seeds, cands = [], []
+    for i, t in texts:
+        for kind, rx, keep in PII:
+            found = list(re.finditer(rx, t, re.ASCII))
+            seeds += [(i, kind, *c) for c, m in zip(contexts(t, found, False), found) if keep(m)]
+        for c in contexts(t, list(re.finditer(pii.CANDIDATE.pattern, t, re.ASCII)), True):
+            if len(c[2]) >= 5 and (_digits(c[2]) >= 4 or re.search("[^@]@[^@]", c[2])):
+                cands.append((i, *c))
+    totals = Counter(w for _, t in texts for w in re.split(f"[{edge}]+", low(t)))
+    count, kinds = Counter(), [k for k, _, _ in PII]
+    for _, kind, _, _, v, words in seeds:
+        count.update((p, low(v), kind) for p in words)
+    for _, _, _, v, words in cands:
+        count.update((p, low(v), None) for p in words)
+
+    def fits(v, kind):
+        return "@" in v if kind == "email" else "@" not in v and _digits(v) >= {"card": 12, "phone": 7, "ip": 4}[kind]
+
+    scores = {}
+    for _ in range(pii.ROUNDS):
+        weight = {}
+        for (p, v, kind), n in count.items():
+            for k in [kind] if kind else [k for k in kinds if fits(v, k) and (k, v) in scores]:
+                at = weight.setdefault((p, k), Counter())
+                at[v] += n if kind else n * scores[k, v]
+        trust = {}
+        for (p, k), w in weight.items():
+            total = sum(w.values())
+            if len(w) >= pii.MIN_INSTANCES and total / (max(totals[p[1]], total) + pii.SMOOTHING) >= pii.MIN_CONFIDENCE:
+                trust[p, k] = total / (max(totals[p[1]], total) + pii.SMOOTHING)
+        logs = {}
+        for (p, v, kind), _n in count.items():
+            if kind is None:
+                for k in kinds:
+                    if fits(v, k) and (p, k) in trust:
+                        logs[k, v] = logs.get((k, v), 0.0) + math.log(1 - min(trust[p, k], 0.999))
+        scores = {x: 1 - math.exp(s) for x, s in logs.items()}
+    best = {}
+    for (k, v), s in scores.items():
+        if s >= pii.THRESHOLD:
+            best[v] = max(best.get(v, (0, "")), (s, k))
+    spans = {i: {(kind, a, b) for j, kind, a, b, _, _ in seeds if j == i} for i, _ in rows}
+    for i, a, b, v, _ in cands:
+        if low(v) in best and not any(x < b and a < y for _, x, y in [s for s in spans[i] if s in {(k, p, q) for j, k, p, q, _, _ in seeds if j == i}]):
+            spans[i].add((best[low(v)][1], a, b))
+    return spans
+
+
+def test_found_spans_equal_the_plain_method(spark):
+    """Digit groups, bare hosts and broken cards behind the cues of seeds: all
+    that the graph finds, and nothing else."""
+    rng = random.Random(8)
+    num = lambda n: "".join(rng.choices(string.digits, k=n))
+    forms = [
+        lambda: f"Mail: <u{num(3)}@host{num(2)}.org>, ok", lambda: f"mail: <u{num(3)}@intranet>, ok", lambda: f"call +1 555 {num(3)} {num(4)} today",
+        lambda: f"call ({num(3)}) {num(3)}-{num(4)} today", lambda: f"phone 0{num(2)} {num(3)} {num(4)}.", lambda: f"phone +49 30 {num(7)}.",
+        lambda: f"server 10.{rng.randrange(256)}.0.{rng.randrange(256)} is down", lambda: f"in the year {num(5)} the end", lambda: "plain words only, no more",
+        lambda: f"order no. {num(6)} of {num(8)}", lambda: f"card 4111 1111 1111 {num(4)} paid",
+    ]
+    rows = [(i, " ".join(rng.choice(forms)() for _ in range(rng.randrange(1, 5)))) for i in range(250)] + [(900, None), (901, "")]
+    want = graph_spans(rows)
+    got = {r["doc_id"]: {(s["kind"], s["start"], s["end"]) for s in r["spans"]} for r in pii.find(docs(spark, rows)).collect()}
+    assert got == want
+    base = sum(len(r["base"]) for r in pii.find(docs(spark, rows)).collect())
+    assert sum(map(len, want.values())) > base + 50
+
+
+def test_space_free_texts_take_linear_time(spark):
+    import time
+
+    texts = ["a-" * 500_000, "a.1" * 100_000, "1 " * 150_000 + "x", "@" * 500_000, "(" * 500_000, "12345 " * 20_000]
+    began = time.time()
+    assert pii.spans_of(docs(spark, list(enumerate(texts))), "doc_id", "text").selectExpr("sum(size(candidates))").first()[0] >= 0
+    assert time.time() - began < 90
+
+
 def test_entropy_is_that_of_the_best_window(spark):
     import math
     from collections import Counter
