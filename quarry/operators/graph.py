@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.ml.dictionary import Dictionary, build_dictionary, encode
 from quarry.operators.rounds import Rounds
 from quarry.operators.skew import hot_slices
 
@@ -124,6 +125,15 @@ def find_motif(
     return out
 
 
+def dense_ids(g: Graph, path: str | None = None) -> tuple[Graph, Dictionary]:
+    """The graph with its vertices numbered from 0 in the order of their ids,
+    and the dictionary behind the numbers: loops then join and shuffle eight
+    bytes instead of long names. ``ml.dictionary.decode`` gives the ids back."""
+    names = build_dictionary(g.vertices.select("id").distinct(), "id", path)
+    edges = encode(encode(g.edges.select("src", "dst"), "src", names, "from"), "dst", names, "to")
+    return Graph.from_edges(edges.select(F.col("from").alias("src"), F.col("to").alias("dst"))), names
+
+
 def one_way_edges(g: Graph) -> DataFrame:
     """Edges ``a -> b`` with no edge ``b -> a`` (self-loops never qualify)."""
     return find_motif(g, [("a", "b")], [("b", "a")])

@@ -255,3 +255,14 @@ ORACLE_SQL["hops_resumed"] = ORACLE_SQL["hops_to_landmarks"]
 ORACLE_SQL["pagerank_resumed"] = ORACLE_SQL["pagerank"]
 ORACLE_SQL["sliding_tag_counts_panes"] = ORACLE_SQL["sliding_tag_counts"]
 ORACLE_SQL["parquet_multi_file_overwrite"] = "SELECT p_partkey, p_name, p_size, p_retailprice FROM part WHERE p_size <= 25"
+ORACLE_SQL["hops_to_many_landmarks"] = (
+    "WITH RECURSIVE " + _GRAPH + "," + _BFS.format(landmarks="(SELECT id FROM vertices WHERE id % 10 = 0)") + " SELECT * FROM hops"
+)
+ORACLE_SQL["directed_triangles"] = (
+    "WITH " + _GRAPH + " SELECT e1.src AS a, e2.src AS b, e3.src AS c FROM edges e1 JOIN edges e2 ON e1.dst = e2.src "
+    "JOIN edges e3 ON e2.dst = e3.src AND e3.dst = e1.src WHERE e1.src < e2.src AND e1.src < e3.src AND e2.src <> e3.src"
+)
+ORACLE_SQL["pagerank_dense_ids"] = (
+    "WITH " + _GRAPH + "," + _LINKS + "," + _rank_rounds(10)
+    + " SELECT c_name AS name, ROUND(rank, 12) AS rank FROM r10 JOIN customer ON page = c_custkey"
+)

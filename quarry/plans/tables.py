@@ -26,7 +26,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quarry.ml import dictionary as D
+from quarry.operators import cycles as CY
 from quarry.operators import graph as G
+from quarry.operators import landmarks as LM
 from quarry.operators import ranking as R
 from quarry.operators import relational as Rel
 from quarry.operators import spatial as S
@@ -45,6 +48,7 @@ POINT_CELL = 0.03125
 TREND_MIN_COUNT = 2
 FAR_HOPS = 4
 SECOND_LANDMARK = 1
+MANY_LANDMARKS = 10
 RANK_ROUNDS = 10
 RANK_DIGITS = 12
 # A page sends its whole rank from each of its (about ten) lines, so the mass
@@ -287,6 +291,18 @@ def hops_resumed(spark, sf_dir):
     return G.hops_to_landmarks(g, hub_of(g), state=state)
 
 
+def hops_to_many_landmarks(spark, sf_dir):
+    """Hops to every vertex whose number is divisible by ten, about a hundred
+    landmarks, by one search over bits."""
+    g = stored_routes_graph(spark, sf_dir)
+    marks = g.vertices.filter(F.col("id") % MANY_LANDMARKS == 0).select(F.col("id").alias("landmark"))
+    return LM.hops_to_many(g, marks)
+
+
+def directed_triangles(spark, sf_dir):
+    return CY.directed_triangles(stored_routes_graph(spark, sf_dir))
+
+
 def hops_map(spark, sf_dir):
     g = stored_routes_graph(spark, sf_dir)
     hub = hub_of(g)
@@ -342,6 +358,20 @@ def pagerank(spark, sf_dir):
     return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
 
 
+def pagerank_dense_ids(spark, sf_dir):
+    """The ranks of ``pagerank`` over the customers' names, computed on dense
+    numbers and given back by name."""
+    names = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    edges = routes_graph(spark, sf_dir).edges
+    for end in ("src", "dst"):
+        edges = edges.join(names.toDF(end, f"{end}_name"), end)
+    named = cut_lineage(edges.select(F.col("src_name").alias("src"), F.col("dst_name").alias("dst")), "named-routes")
+    g, words = G.dense_ids(G.Graph.from_edges(named))
+    ranks = R.pagerank(R.edges_as_links(g.edges), iterations=RANK_ROUNDS)
+    back = D.decode(ranks, "page", words, "name")
+    return back.select("name", F.round("rank", RANK_DIGITS).alias("rank"))
+
+
 def pagerank_resumed(spark, sf_dir):
     """The ranks of ``pagerank`` from a loop that is left after four rounds and
     taken up from its state folder by a second call."""
@@ -443,12 +473,15 @@ QUERIES: dict[str, QueryFn] = {
     "hops_to_landmarks": hops_to_landmarks,
     "hops_to_two_landmarks": hops_to_two_landmarks,
     "hops_resumed": hops_resumed,
+    "hops_to_many_landmarks": hops_to_many_landmarks,
+    "directed_triangles": directed_triangles,
     "hops_map": hops_map,
     "far_from_landmark": far_from_landmark,
     "link_lists": link_lists,
     "pagerank_contributions": pagerank_contributions,
     "pagerank": pagerank,
     "pagerank_resumed": pagerank_resumed,
+    "pagerank_dense_ids": pagerank_dense_ids,
     "pagerank_lines": pagerank_lines,
     "grid_cells": grid_cells,
     "grid_push": grid_push,
