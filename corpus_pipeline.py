@@ -4,6 +4,15 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's documents. All stages
 but the last return the columns of ``documents``; the last returns the packed
 pieces. A stage works on everything that the stage before it kept.
+
+Defined cases: a null text is an empty one to every stage (it stays null until
+the mix, which takes no row without words). Empty and blank texts have no toxic
+feature beyond the classifier's bias, link with nothing, hold no secret, and go
+in the mix. Rows with a null doc_id are documents like others, repeated rows
+near-copies of each other. Ties: a score at the threshold is toxic, of equal
+doc_ids the row read first stays, equal rows are interchangeable in the mix. An
+empty table gives an empty result. Columns beside doc_id, text, source, n_chars
+pass through, whatever their names. Texts of any length are worked on whole.
 """
 
 from __future__ import annotations
