@@ -456,7 +456,7 @@ best{level} AS (
 
 
 # The two levels of best splits over the training rows. Two leaves of one
-# parent that predict the same class are one leaf in MLlib.
+# parent that predict the same class are one leaf in MLlib, at both levels.
 TREE_SQL = f"""
 WITH t AS (
   SELECT c_custkey AS id, c_nationkey::DOUBLE AS nation, (c_custkey % 10)::DOUBLE AS digit,
@@ -476,8 +476,11 @@ leaf AS (SELECT node, side, AVG(label) AS p FROM n2 WHERE train GROUP BY node, s
 inner_ AS (
   SELECT n.node, n.p, l.same FROM (SELECT node, AVG(label) AS p FROM n2 WHERE train GROUP BY node) n
   JOIN (SELECT node, COUNT(DISTINCT p > 0.5) = 1 AS same FROM leaf GROUP BY node) l USING (node)),
+top AS (
+  SELECT (SELECT AVG(label) FROM n2 WHERE train) AS p, BOOL_AND(same) AND COUNT(DISTINCT p > 0.5) = 1 AS one FROM inner_),
 scored AS (
-  SELECT id, label, CASE WHEN same THEN i.p ELSE l.p END AS p FROM n2 JOIN leaf l USING (node, side) JOIN inner_ i USING (node) WHERE NOT train)"""
+  SELECT id, label, CASE WHEN one THEN t.p WHEN same THEN i.p ELSE l.p END AS p
+  FROM n2 JOIN leaf l USING (node, side) JOIN inner_ i USING (node), top t WHERE NOT train)"""
 ORACLE_SQL["tree_predictions"] = (
     f"{TREE_SQL} SELECT id, label, ROUND(p, 9) AS p_1, CASE WHEN p > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM scored"
 )
