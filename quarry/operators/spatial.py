@@ -24,9 +24,14 @@ checked by distance:
 Cross-cell candidates between cells A and B number ``|A||B| <=
 (|A|^2 + |B|^2)/2``, i.e. they are bounded by the same-cell results, so the
 work is linear in input plus output even when one cell holds a large share
-of the points. Identical rows are collapsed first (map-side), hot cells are
-split over tasks by AQE's skew-join handling, and the plan contains no
-cartesian or nested-loop join.
+of the points. Identical rows are collapsed first (map-side). A cell with more
+candidates than an even partition is split over several by a salt, and the plan
+contains no cartesian or nested-loop join.
+
+The pairs may be many times the points, so none is shuffled, sorted or hashed
+without need: two ids of one point each meet in one candidate only, and their
+pairs go out as the join finds them. Only those of an id with several points
+(or of a null id) can come twice and pass a ``distinct``.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.geometry import cell_index, euclidean
+from quarry.session import cut_lineage
 
 # Forward cells of the coarse scheme, fixed by the operator's definition:
 # up, up-right, right, down-right.
@@ -115,13 +121,18 @@ def close_pairs(
     # Identical rows collapse to one point with a multiplicity; a point
     # present more than once pairs with itself.
     uniq = pts.groupBy("id", "x", "y").agg(F.count(F.lit(1)).alias("mult"))
-    uniq = uniq.select(
-        "id",
-        "x",
-        "y",
-        "mult",
-        cell_index(F.col("x"), side).alias("cx"),
-        cell_index(F.col("y"), side).alias("cy"),
+    several = uniq.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("id", F.lit(True).alias("_m"))
+    uniq = cut_lineage(
+        uniq.join(several, "id", "left").select(
+            "id",
+            "x",
+            "y",
+            "mult",
+            F.coalesce("_m", F.col("id").isNull()).alias("several"),
+            cell_index(F.col("x"), side).alias("cx"),
+            cell_index(F.col("y"), side).alias("cy"),
+        ),
+        "close-points",
     )
     self_pairs = uniq.filter(F.col("mult") > 1).select(
         F.col("id").alias("id_a"), F.col("id").alias("id_b")
@@ -131,6 +142,7 @@ def close_pairs(
         F.col("id").alias("id2"),
         F.col("x").alias("x2"),
         F.col("y").alias("y2"),
+        F.col("several").alias("several2"),
         F.explode(offs).alias("_o"),
         "cx",
         "cy",
@@ -138,24 +150,63 @@ def close_pairs(
         "id2",
         "x2",
         "y2",
+        "several2",
         ((F.col("_o.dx") == 0) & (F.col("_o.dy") == 0)).alias("same"),
         (F.col("cx") + F.col("_o.dx")).alias("cx"),
         (F.col("cy") + F.col("_o.dy")).alias("cy"),
     )
-    home = uniq.select("id", "x", "y", "cx", "cy")
+    home = uniq.select("id", "x", "y", "several", "cx", "cy")
+    n_parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    home, moved = _salted(home, moved, offs, n_parts)
     same_cell_order = F.struct("id", "x", "y") < F.struct(
         F.col("id2"), F.col("x2"), F.col("y2")
     )
     within = euclidean(F.col("x"), F.col("y"), F.col("x2"), F.col("y2")) <= F.lit(
         float(threshold)
     )
-    pairs = home.join(moved, ["cx", "cy"]).filter(
-        within & F.when(F.col("same"), same_cell_order).otherwise(F.lit(True))
+
+    def near(left: DataFrame, right: DataFrame) -> DataFrame:
+        # Spread by number, so that few bytes of points with many pairs are
+        # not coalesced into one task.
+        keys = ["cx", "cy", "salt"]
+        pairs = left.repartition(n_parts, *keys).join(right.repartition(n_parts, *keys), keys).filter(
+            within & F.when(F.col("same"), same_cell_order).otherwise(F.lit(True))
+        )
+        return pairs.select(
+            F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b")
+        )
+
+    once = near(home.filter(~F.col("several")), moved.filter(~F.col("several2")))
+    again = near(home.filter("several"), moved).unionByName(
+        near(home.filter(~F.col("several")), moved.filter("several2"))
+    )
+    return once.unionByName(again.unionByName(self_pairs).distinct())
+
+
+def _salted(home: DataFrame, moved: DataFrame, offs, partitions: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``salt``: a cell with more candidates than an even
+    partition has its moved rows in as many slices as it fills and its home
+    rows once per slice. There are at most ``partitions`` such cells."""
+    cells = home.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_h"))
+    reached = cells.select("_h", F.explode(offs).alias("_o"), "cx", "cy").groupBy(
+        (F.col("cx") + F.col("_o.dx")).alias("cx"), (F.col("cy") + F.col("_o.dy")).alias("cy")
+    ).agg(F.sum("_h").alias("_m"))
+    work = cut_lineage(
+        cells.join(reached, ["cx", "cy"]).select("cx", "cy", (F.col("_h").cast("double") * F.col("_m")).alias("_w")),
+        "close-cells",
+    )
+    even = F.greatest(work.select(F.sum("_w")).scalar() / F.lit(partitions), F.lit(1.0))
+    hot = F.broadcast(
+        work.filter(F.col("_w") > even).select(
+            "cx", "cy", F.least(F.ceil(F.col("_w") / even), F.lit(partitions)).cast("int").alias("_slices")
+        )
     )
-    found = pairs.select(
-        F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b")
+    slices = F.coalesce("_slices", F.lit(1))
+    salt = F.pmod(F.xxhash64("id2", "x2", "y2"), slices).cast("int")
+    return (
+        home.join(hot, ["cx", "cy"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), slices - 1))).drop("_slices"),
+        moved.join(hot, ["cx", "cy"], "left").withColumn("salt", salt).drop("_slices"),
     )
-    return found.unionByName(self_pairs).distinct()
 
 
 def close_pair_count(pairs: DataFrame, alias: str = "n_pairs") -> DataFrame:

@@ -90,3 +90,30 @@ def test_pairs_far_from_the_origin(spark, steps, origin):
         if ((x - u) ** 2 + (y - v) ** 2) ** 0.5 <= t
     }
     assert got == want
+
+
+def test_pairs_of_single_points_pass_no_distinct(spark):
+    """The pairs are many times the points: they are neither hashed nor shuffled."""
+    rows = [(f"p{i}", 0.001 * i, 0.0) for i in range(40)]
+    pairs = S.close_pairs(spark.createDataFrame(rows, "id string, x double, y double"), 0.5)
+    assert pairs.count() == 40 * 39 // 2
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    top = [line.strip(" :+-") for line in plan.splitlines()]
+    assert top[0].startswith("Union")  # no aggregate over all pairs
+
+
+def test_a_hot_cell_is_shared_by_the_tasks(spark):
+    """Points of one cell, few bytes with many pairs, are joined by many tasks."""
+    rows = [(f"p{i:03}", 1.0 + i * 1e-6, 1.0) for i in range(400)] + [("far", 9.0, 9.0)]
+    pairs = S.close_pairs(spark.createDataFrame(rows, "id string, x double, y double"), 0.5)
+    by_task = [len(part) for part in pairs.rdd.glom().collect()]
+    assert sum(by_task) == 400 * 399 // 2 == len({tuple(r) for r in pairs.collect()})
+    assert sum(n > 0 for n in by_task) >= 4 and max(by_task) < 0.6 * sum(by_task)
+
+
+def test_null_and_repeated_ids_keep_each_pair_once(spark):
+    rows = [("a", 0.0, 0.0), ("a", 0.1, 0.0), ("a", 0.1, 0.0), ("b", 0.0, 0.1), ("c", 0.1, 0.1), ("c", 0.1, 0.1),
+            (None, 0.0, 0.2), (None, 0.1, 0.2), ("d", 5.0, 5.0)]
+    got = sorted((r.id_a, r.id_b) for r in S.close_pairs(spark.createDataFrame(rows, "id string, x double, y double"), 1.0)
+                 .where("id_a IS NOT NULL").collect())
+    assert got == [("a", "a"), ("a", "b"), ("a", "c"), ("b", "b"), ("b", "c"), ("c", "c")]
