@@ -1,6 +1,7 @@
 """Many landmarks as bits, closed motifs by degree order, dense ids."""
 
 import itertools
+import os
 import random
 
 import pytest
@@ -47,6 +48,29 @@ def test_many_landmarks_go_on_from_their_state(spark, tmp_dir):
     assert rows(LM.hops_to_many(g, marks, state=state)) == want
 
 
+def test_only_the_levels_of_many_landmarks_are_kept(spark, tmp_dir):
+    """No table of all bits seen so far is written beside every level, and a
+    vertex has one row for hundreds of landmarks."""
+    n = 300
+    spark.createDataFrame([(i, (i + 1) % n) for i in range(n)] + [(i, (i * 7) % n) for i in range(n)], NAMES) \
+        .distinct().write.parquet(f"{tmp_dir}/e")
+    g = G.Graph.from_edges(spark.read.parquet(f"{tmp_dir}/e"))
+    marks = g.vertices.withColumnRenamed("id", "landmark")
+    out = LM.hops_to_many(g, marks, max_hops=3, state=f"{tmp_dir}/s")
+    assert not [name for name in os.listdir(f"{tmp_dir}/s") if name.startswith("seen")]
+    assert spark.read.parquet(f"{tmp_dir}/s/level-0").count() == n
+    for level in (1, 2, 3):
+        assert spark.read.parquet(f"{tmp_dir}/s/level-{level}").count() <= n  # 300 landmarks, one block
+    want = []
+    for mark in range(n):
+        hops, edge = {mark: 0}, {mark}
+        for level in (1, 2, 3):
+            edge = {i for i in range(n) if {(i + 1) % n, (i * 7) % n} & edge} - set(hops)
+            hops.update(dict.fromkeys(edge, level))
+        want += [(i, mark, h) for i, h in hops.items()]
+    assert rows(out) == sorted(want)
+
+
 def test_too_many_landmarks_are_refused(spark, monkeypatch):
     monkeypatch.setattr(LM, "MAX_LANDMARKS", 3)
     g = graph(spark, random_edges(3))
