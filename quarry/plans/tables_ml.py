@@ -281,12 +281,14 @@ def tree_predictions(spark, sf_dir):
 def forest_model(spark, sf_dir):
     model = fit_forest(spark, sf_dir)
     _, test = hash_split(retail_frame(spark, sf_dir), ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
+    test = MO.spread(test, ["o_orderkey"], FOREST_PARTITIONS)
     return model.transform(test).select("o_orderkey", "rating", "prediction")
 
 
 def _forest_predictions(spark, sf_dir) -> DataFrame:
     data = label_split(retail_frame(spark, sf_dir), ["o_orderkey"], TRAIN_FRACTION, SPLIT_SEED)
-    return fit_forest(spark, sf_dir).transform(data)
+    # Scoring takes far longer a row than reading: few files must not mean few tasks.
+    return fit_forest(spark, sf_dir).transform(MO.spread(data, ["o_orderkey"], FOREST_PARTITIONS))
 
 
 def forest_metrics(spark, sf_dir):

@@ -110,6 +110,17 @@ def test_forest_follows_no_input_partitions_below_the_bound(spark):
     data.unpersist()
 
 
+def test_forest_scores_few_files_in_many_tasks(spark, monkeypatch):
+    from quarry.plans import tables_ml as TM
+
+    sf = "/root/testdata/sf0.001"
+    data = TM.retail_frame(spark, sf)
+    model = MO.fit(MO.forest_pipeline(TM.FOREST_COLUMNS, "rating", num_trees=2, max_depth=2), data)
+    monkeypatch.setattr(TM, "fit_forest", lambda *_: model)
+    assert TM._forest_predictions(spark, sf).rdd.getNumPartitions() >= TM.FOREST_PARTITIONS
+    assert TM.forest_model(spark, sf).rdd.getNumPartitions() >= TM.FOREST_PARTITIONS
+
+
 def test_spread_leaves_many_partitions_alone(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     assert MO.spread(df.repartition(64), ["k"], 16).rdd.getNumPartitions() == 64
