@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from quarry.operators import cycles as CY
 from quarry.operators import graph as G
 from quarry.operators import landmarks as LM
 from quarry.operators import ranking as R
+from quarry.operators.rounds import Rounds
+from quarry.session import DROP_SHUFFLES
 
 NAMES = "src long, dst long"
 
@@ -71,6 +74,42 @@ def test_only_the_levels_of_many_landmarks_are_kept(spark, tmp_dir):
     assert rows(out) == sorted(want)
 
 
+def test_blocks_are_searched_in_groups(spark, tmp_dir, monkeypatch):
+    """No step of the search moves the bits of all blocks at once, and what the
+    steps shuffled is gone when they are written."""
+    monkeypatch.setattr(LM, "WORDS", 1)
+    monkeypatch.setattr(LM, "GROUP", 2)
+    n = 150
+    edges = {(i, (i * 7 + k) % n) for i in range(n) for k in (1, 2)}
+    spark.createDataFrame(sorted(edges), NAMES).write.parquet(f"{tmp_dir}/e")
+    g = G.Graph.from_edges(spark.read.parquet(f"{tmp_dir}/e"))
+    marks = g.vertices.withColumnRenamed("id", "landmark")
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled():
+        found = {name for top in dirs for _, _, names in os.walk(top) for name in names}
+        return {name.split("_")[1] for name in found if name.startswith("shuffle_")}
+
+    at_first, before = shuffled(), spark.conf.get(DROP_SHUFFLES, None)
+    out = LM.hops_to_many(g, marks, max_hops=2, partitions=4, state=f"{tmp_dir}/s")
+    assert spark.conf.get(DROP_SHUFFLES, None) == before
+    for _ in range(100):  # files go in the background
+        if len(left := shuffled() - at_first) <= 1:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1  # the reversed edges
+    for first in (0, 2):  # three blocks
+        level = spark.read.parquet(f"{tmp_dir}/s/blocks-{first}-{first + 1}/level-2")
+        assert {r.block for r in level.select("block").collect()} == {first, first + 1} - {3}
+    want = [(i, i, 0) for i in range(n)]
+    for mark in range(n):
+        one = {a for a, b in edges if b == mark} - {mark}
+        two = {a for a, b in edges if b in one} - one - {mark}
+        want += [(i, mark, 1) for i in one] + [(i, mark, 2) for i in two]
+    assert rows(out) == sorted(want)
+    assert rows(LM.hops_to_many(g, marks, max_hops=2, partitions=4, state=f"{tmp_dir}/s")) == sorted(want)
+
+
 def test_too_many_landmarks_are_refused(spark, monkeypatch):
     monkeypatch.setattr(LM, "MAX_LANDMARKS", 3)
     g = graph(spark, random_edges(3))
